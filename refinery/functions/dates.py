@@ -5,42 +5,52 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Whatever follows the date (a time, a remark) is ignored; a year has four digits.
-_YEAR_FIRST = r"^(\d{4}-\d{1,2}-\d{1,2})($|\D)"
-_YEAR_LAST = r"^\d{1,2}-\d{1,2}-\d{4}($|\D)"
-
 
 def unify_date_text(raw: Column | str) -> Column:
     """Without padding and with one separator."""
-    return F.translate(F.trim(raw), "/", "-")
+    return F.replace(F.trim(raw), F.lit("/"), F.lit("-"))
+
+
+def date_parts(text: Column | str) -> Column:
+    """The pieces between the separators."""
+    return F.split(F.ltrim(text, F.lit(" \t")), "-")
 
 
-def parse_order_date(text: Column | str, day_first: bool = False) -> Column:
-    """The date in ``text``, or null.
+def date_from_parts(parts: Column, day_first: bool = False) -> Column:
+    """The date the pieces spell, or null.
 
     Year-first text is unambiguous. Year-last text is read month-first unless its first
-    number can only be a day; ``day_first`` turns that preference round. The shape is
-    tested before parsing, so one cast is tried per row and none of them can throw: at
-    scale a formatter that raises and catches for every mismatch is the dominant cost.
+    number can only be a day; ``day_first`` turns that preference round. A year has four
+    digits, and whatever follows the date (a time, a remark) is ignored.
+
+    The length of the first piece picks the reading, so one cast is tried per row and
+    hardly any fails: a failed parse raises and catches inside Spark, which costs more
+    than all the rest of the step.
     """
-    body = F.ltrim(text, F.lit(" \t"))
-    first, second = (F.split_part(body, F.lit("-"), F.lit(i)) for i in (1, 2))
-    year = F.substring(F.split_part(body, F.lit("-"), F.lit(3)), 1, 4)
+    first, second, rest = (F.get(parts, F.lit(i)) for i in range(3))
     if day_first:
-        first_is_day = second.try_cast("int") <= 12
+        first_is_day = ~_beyond_twelve(second)
     else:
-        first_is_day = first.try_cast("int") > 12
-    month, day = (
-        F.when(first_is_day, second).otherwise(first),
-        F.when(first_is_day, first).otherwise(second),
-    )
+        first_is_day = _beyond_twelve(first)
+    month = F.when(first_is_day, second).otherwise(first)
+    day = F.when(first_is_day, first).otherwise(second)
+    year_last = _dashed(F.regexp_extract(rest, r"^\d{4}(?!\d)", 0), month, day)
+    year_first = _dashed(first, second, F.regexp_extract(rest, r"^\d{1,2}(?!\d)", 0))
     return (
-        F.when(body.rlike(_YEAR_LAST), F.concat_ws("-", year, month, day))
-        .otherwise(F.regexp_extract(body, _YEAR_FIRST, 1))
+        F.when(F.length(first) == 4, year_first)
+        .when(F.length(first) <= 2, year_last)
         .try_cast("date")
     )
 
 
+def _beyond_twelve(number: Column) -> Column:
+    return (F.length(number) == 2) & (number > "12")
+
+
+def _dashed(year: Column, month: Column, day: Column) -> Column:
+    return F.concat(year, F.lit("-"), month, F.lit("-"), day)
+
+
 def date_key(date: Column | str) -> Column:
     """``yyyymmdd`` as an integer."""
     return F.year(date) * 10000 + F.month(date) * 100 + F.dayofmonth(date)

@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 def parse_int(text: Column | str) -> Column:
     """Whole number in ``text``, decimals cut off; null when it is not a number."""
     text = F.col(text) if isinstance(text, str) else text
-    whole = F.when(
-        text.rlike(r"^\s*[+-]?\d+\.\d*\s*$"), F.substring_index(text, ".", 1)
-    ).otherwise(text)
+    decimal = F.contains(text, F.lit(".")) & text.rlike(r"^\s*[+-]?\d+\.\d*\s*$")
+    whole = F.when(decimal, F.substring_index(text, ".", 1)).otherwise(text)
     return whole.try_cast("int")
 
 

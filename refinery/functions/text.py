@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,15 +24,17 @@ def repair_encoding(text: Column | str, lowered: bool = False) -> Column:
     """Undo the known mis-decodings by literal replacement, in order.
 
     ``lowered`` says the text has already been lower-cased: lowering also changes the
-    broken sequences, so they are looked for in that form.
+    broken sequences, so they are looked for in that form. Text without any character
+    they start with, which is nearly all of it, is only scanned for those.
     """
     text = F.col(text) if isinstance(text, str) else text
-
-    def replaced(column: Column, repair: tuple[str, str]) -> Column:
-        broken, right = repair
-        return F.replace(column, F.lit(broken.lower() if lowered else broken), F.lit(right))
-
-    return reduce(replaced, ENCODING_REPAIRS, text)
+    repairs = [(b.lower() if lowered else b, right) for b, right in ENCODING_REPAIRS]
+    repaired, suspect = text, F.lit(False)
+    for broken, right in repairs:
+        repaired = F.replace(repaired, F.lit(broken), F.lit(right))
+    for first in sorted({broken[0] for broken, _ in repairs}):
+        suspect = suspect | F.contains(text, F.lit(first))
+    return F.when(suspect, repaired).otherwise(text)
 
 
 def trimmed(column: str) -> Column:

@@ -69,9 +69,9 @@ def parse_dates(rows: DataFrame, day_first: bool = False) -> DataFrame:
     """Keep the date as written, unify its text and parse it."""
     renamed = rows.withColumnRenamed("order_date", "order_date_raw")
     unified = renamed.withColumn("order_date_clean", dates.unify_date_text("order_date_raw"))
-    return unified.withColumn(
-        "order_date", dates.parse_order_date(F.col("order_date_clean"), day_first)
-    )
+    split = unified.withColumn("_parts", dates.date_parts("order_date_clean"))
+    parsed = split.withColumn("order_date", dates.date_from_parts(F.col("_parts"), day_first))
+    return parsed.drop("_parts")
 
 
 def cast_numbers(rows: DataFrame) -> DataFrame:

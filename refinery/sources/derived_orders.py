@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from refinery.schemas import RAW
+from refinery.sources.files import spread
 
 TABLES = ["lineitem", "orders", "customer", "nation", "part"]
 
@@ -96,5 +97,7 @@ def raw_orders_sql(variant: str = "settled", **tables: str) -> str:
 
 def raw_orders(spark: SparkSession, folder: str, variant: str = "settled") -> DataFrame:
     tables = {name: spark.read.parquet(f"{folder}/{name}.parquet") for name in TABLES}
+    used = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount"]
+    tables["lineitem"] = spread(tables["lineitem"].select(*used))
     text = raw_orders_sql(variant, **{name: "{" + name + "}" for name in TABLES})
     return spark.sql(text, **tables).select(*RAW.names)

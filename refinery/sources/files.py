@@ -19,6 +19,16 @@ _CSV = {
 }
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows out to all cores when the input comes in fewer pieces than those.
+
+    A file that cannot be split (line breaks in quotes, one large row group) would keep
+    every later step on one task. Input of many pieces is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_csv(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -31,7 +41,7 @@ def read_csv(
     """CSV part files of a folder under a fixed schema; nothing is inferred.
 
     ``multi_line`` admits line breaks inside quotes, but then a file cannot be split:
-    keep such input in many files. ``corrupt_column`` names a column that receives the
+    keep such input in many files; rows of a few are dealt out after reading. ``corrupt_column`` names a column that receives the
     whole text of records with too few or too many fields.
     """
     reader = (
@@ -44,7 +54,8 @@ def read_csv(
     if corrupt_column:
         schema = StructType([*schema.fields, StructField(corrupt_column, StringType())])
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
-    return reader.schema(schema).csv(path if isinstance(path, str) else list(path))
+    rows = reader.schema(schema).csv(path if isinstance(path, str) else list(path))
+    return spread(rows) if multi_line else rows
 
 
 def write_csv(df: DataFrame, path: str, max_records_per_file: int = 0, **options: str) -> None:
