@@ -7,6 +7,7 @@ out of the results: they differ from run to run.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,9 +23,12 @@ from refinery.sources.files import read_csv, read_table, write_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# One fixed run time, so that equal queries compile to equal code.
+RUN_AT = datetime(2024, 1, 1, tzinfo=timezone.utc)
+
 
 def _refined(spark: SparkSession, folder: str, variant: str = "settled") -> DataFrame:
-    return refine(raw_orders(spark, folder, variant))
+    return refine(raw_orders(spark, folder, variant), RUN_AT)
 
 
 def _stored(spark: SparkSession, folder: str, variant: str = "settled") -> DataFrame:
@@ -33,7 +37,7 @@ def _stored(spark: SparkSession, folder: str, variant: str = "settled") -> DataF
 
 
 def _star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return build_star(_stored(spark, folder))
+    return build_star(_stored(spark, folder), RUN_AT)
 
 
 def _fact(spark: SparkSession, folder: str) -> DataFrame:

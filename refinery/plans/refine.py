@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from refinery.operators import cleaning
-from refinery.schemas import BUSINESS_KEY, CLEAN
+from refinery.schemas import CLEAN
 
 
 def refine(
@@ -17,18 +17,18 @@ def refine(
     day_first: bool = False,
     blank_is_missing: bool = True,
 ) -> DataFrame:
-    """Deduplicate, standardise, parse, require keys, fill, flag and derive.
+    """Deduplicate, require keys, standardise, parse, fill, flag and derive.
 
-    One shuffle, for the deduplication; the rest is a projection over its result. Rows
-    without a business key cannot survive the key filter, so they are dropped before
-    the shuffle; a missing customer may not be, for it decides which duplicate stays.
+    One shuffle, for the deduplication; the rest is a projection over its result. The
+    filter on the business key applies to whole groups, so Catalyst moves it before the
+    shuffle. The one on the customer stays behind it, for a missing customer decides
+    which duplicate is kept.
     """
-    keyed = raw.dropna(subset=BUSINESS_KEY)
-    rows = cleaning.keep_one_per_key(keyed)
+    rows = cleaning.keep_one_per_key(raw)
+    rows = cleaning.require_keys(rows, blank_is_missing=blank_is_missing)
     rows = cleaning.clean_text(rows)
     rows = cleaning.parse_dates(rows, day_first)
     rows = cleaning.cast_numbers(rows)
-    rows = cleaning.require_keys(rows, blank_is_missing=blank_is_missing)
     rows = cleaning.fill_defaults(rows)
     rows = cleaning.flag_missing_dates(rows)
     rows = cleaning.flag_amount_mismatch(rows)
