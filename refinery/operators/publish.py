@@ -82,7 +82,8 @@ def upsert(
     enough to broadcast, which Spark decides by its size, the large table is not moved.
     """
     newest = keep_one_per_key(batch, keys)
-    return existing.join(newest, list(keys), "left_anti").unionByName(newest)
+    untouched = existing.join(newest, list(keys), "left_anti")
+    return untouched.unionByName(newest).select(*existing.columns)
 
 
 def upsert_table(

@@ -1,0 +1,113 @@
+"""Duplicates, missing values and the composed refine step."""
+
+from __future__ import annotations
+
+import random
+from datetime import datetime
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from refinery.operators import cleaning
+from refinery.plans.refine import refine
+from refinery.schemas import BUSINESS_KEY, CLEAN, RAW
+from tests.conftest import rows_of
+
+GOOD = dict(
+    order_id="O1", customer_id="C1", customer_name=" Ann ", product_id="P1", product_name="Pen",
+    category=" TOOLS", quantity="2", unit_price="5.0", total_amount="10.0",
+    order_date="05-01-2024", region="NORTH", status=" Done ",
+)
+
+
+def raw_frame(spark, *changes: dict):
+    return spark.createDataFrame([tuple({**GOOD, **c}[n] for n in RAW.names) for c in changes], RAW)
+
+
+def test_copies_collapse(spark):
+    rows = raw_frame(spark, {}, {}, {"status": "x"})
+    assert cleaning.drop_copies(rows).count() == 2
+    assert cleaning.keep_one_per_key(rows).count() == 1
+
+
+def test_survivor_has_a_customer(spark):
+    rows = raw_frame(spark, {"customer_id": None}, {"customer_id": "C9"}, {"customer_id": "  "})
+    assert cleaning.keep_one_per_key(rows).first()["customer_id"] == "C9"
+
+
+def test_survivor_is_the_first_by_all_other_columns(spark):
+    values = [None, "a", "b", "c"]
+    draw = random.Random(7)
+    rows = raw_frame(
+        spark,
+        *[
+            {"order_id": draw.choice(["O1", "O2", None]), "customer_id": draw.choice(values),
+             "status": draw.choice(values), "region": draw.choice(values)}
+            for _ in range(200)
+        ],
+    )
+    others = [c for c in RAW.names if c not in BUSINESS_KEY]
+    first = Window.partitionBy(*BUSINESS_KEY).orderBy(*[F.asc_nulls_last(c) for c in others])
+    expected = rows.withColumn("n", F.row_number().over(first)).filter("n = 1").drop("n")
+    assert rows_of(cleaning.keep_one_per_key(rows)) == rows_of(expected)
+
+
+def test_survivor_does_not_depend_on_order_or_partitions(spark, settings):
+    rows = raw_frame(spark, *[{"order_id": f"O{i % 7}", "status": str(i)} for i in range(100)])
+    expected = rows_of(cleaning.keep_one_per_key(rows))
+    for partitions in ("1", "3", "16"):
+        settings(spark__sql__shuffle__partitions=partitions)
+        shuffled = rows.orderBy(F.rand(int(partitions))).repartition(5)
+        assert rows_of(cleaning.keep_one_per_key(shuffled)) == expected
+
+
+def test_copies_are_counted(spark):
+    rows = raw_frame(spark, {}, {}, {"order_id": "O2"}, {"status": "z"})
+    counted = cleaning.keep_one_per_key(rows, BUSINESS_KEY, copies="copies")
+    assert {r["order_id"]: r["copies"] for r in counted.collect()} == {"O1": 3, "O2": 1}
+
+
+def test_blank_keys_are_missing_unless_told_not_to(spark):
+    rows = raw_frame(spark, {}, {"customer_id": "  "}, {"customer_id": " \x00 "}, {"order_id": None})
+    assert cleaning.require_keys(rows).count() == 1
+    assert cleaning.require_keys(rows, blank_is_missing=False).count() == 3
+    assert cleaning.require_keys(cleaning.clean_text(rows)).count() == 1
+
+
+def test_defaults(spark):
+    missing = {c: None for c in RAW.names if c not in ("order_id", "customer_id", "product_id")}
+    row = refine(raw_frame(spark, missing)).first()
+    assert (row["customer_name"], row["product_name"], row["category"]) == (
+        "unknown", "unknown", "uncategorized",
+    )
+    assert (row["region"], row["status"]) == ("unknown", "unknown")
+    assert (row["quantity"], row["unit_price"], row["total_amount"]) == (0, 0.0, 0.0)
+    assert row["order_date"] is None and row["is_date_missing"]
+    assert row["order_year"] is None and row["order_month"] is None
+
+
+def test_not_a_number_counts_as_missing(spark):
+    row = refine(raw_frame(spark, {"unit_price": "NaN", "quantity": "n/a"})).first()
+    assert (row["unit_price"], row["quantity"]) == (0.0, 0)
+
+
+def test_refined_row(spark):
+    at = datetime(2024, 6, 1)
+    clean = refine(raw_frame(spark, {}), at)
+    assert [(f.name, f.dataType) for f in clean.schema] == [(f.name, f.dataType) for f in CLEAN]
+    row = clean.first()
+    assert (row["customer_name"], row["category"], row["region"], row["status"]) == (
+        "Ann", "tools", "north", "done",
+    )
+    assert (row["order_year"], row["order_month"], row["processed_at"]) == (2024, 5, at)
+    assert (row["calculated_total"], row["total_amount_mismatch"]) == (10.0, False)
+
+
+def test_refining_twice_keeps_the_same_keys(spark):
+    rows = raw_frame(spark, *[{"order_id": f" O{i % 5} ", "status": str(i)} for i in range(20)])
+    once = refine(rows)
+    again = refine(
+        once.select(*[F.col(c).cast("string") if c != "order_date" else F.col("order_date_raw").alias(c)
+                      for c in RAW.names])
+    )
+    assert rows_of(once.select(*BUSINESS_KEY)) == rows_of(again.select(*BUSINESS_KEY))
