@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from refinery.session import scratch_path
 
@@ -27,7 +28,8 @@ def dense_key(rows: DataFrame, key: str, name: str) -> DataFrame:
         .withColumn("_address", F.monotonically_increasing_id())
         .write.parquet(path)
     )
-    stored = spark.read.schema(rows.schema.add("_address", "long")).parquet(path)
+    schema = StructType([*rows.schema.fields, StructField("_address", LongType())])
+    stored = spark.read.schema(schema).parquet(path)
     task = F.shiftright("_address", _POSITION_BITS).cast("int")
     position = F.col("_address").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
 

@@ -96,30 +96,36 @@ def upsert_table(
 ) -> DataFrame:
     """Merge ``batch`` into a partitioned table, rewriting only the partitions it touches.
 
-    Those are the partitions the new rows go to and the ones their old versions leave.
-    The driver sees the names of touched partitions, of which a table has few.
+    Those are the partitions the new rows go to and the ones their old versions leave;
+    no other is read beyond its keys. The driver sees the folder names of the touched
+    partitions, of which a table has few. Partition values are numbers or dates, whose
+    folder name is their text.
     """
     existing = read_table(spark, path, contract)
     newest = materialize(keep_one_per_key(conform(batch, contract), keys), "batch")
+    folder = _folder(partition_by).alias("folder")
 
-    left = existing.join(newest.select(*keys), list(keys), "left_semi").select(*partition_by)
-    entered = newest.select(*partition_by)
-    touched = materialize(left.unionByName(entered).distinct(), "touched")
-
-    same_partition = [existing[c].eqNullSafe(touched[c]) for c in partition_by]
-    affected = existing.join(touched, same_partition, "left_semi")
+    replaced = existing.join(newest.select(*keys), list(keys), "left_semi")
+    touched = _values(replaced.select(folder).unionByName(newest.select(folder)))
+    affected = existing.filter(_folder(partition_by).isin(touched))
     merged = materialize(conform(upsert(affected, newest, keys), contract), "merged")
 
-    filled = merged.select(*partition_by).distinct()
-    same_partition = [touched[c].eqNullSafe(filled[c]) for c in partition_by]
-    emptied = touched.join(filled, same_partition, "left_anti").collect()
-
     write_table(merged, path, partition_by, only_partitions_present=True)
-    for partition in emptied:
-        folder = "/".join(
-            f"{c}={_NULL_PARTITION if partition[c] is None else partition[c]}" for c in partition_by
-        )
-        nothing = merged.drop(*partition_by).limit(0)
-        nothing.write.mode("overwrite").parquet(f"{path}/{folder}")
+    nothing = merged.drop(*partition_by).limit(0)
+    for emptied in set(touched) - set(_values(merged.select(folder))):
+        nothing.write.mode("overwrite").parquet(f"{path}/{emptied}")
     spark.catalog.refreshByPath(path)
     return read_table(spark, path, contract)
+
+
+def _folder(partition_by: Sequence[str]) -> Column:
+    """The folder of a row's partition; a filter on it prunes partitions when planned."""
+    parts = [
+        F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(_NULL_PARTITION)))
+        for c in partition_by
+    ]
+    return F.concat_ws("/", *parts)
+
+
+def _values(one_column: DataFrame) -> list[str]:
+    return [row[0] for row in one_column.distinct().collect()]

@@ -108,3 +108,31 @@ def test_a_hot_business_key_leaves_each_task_as_one_row(spark, raw):
     kept = cleaning.keep_one_per_key(hot)
     assert kept.count() == 1
     assert "partial_min" in plan_of(kept)
+
+
+def test_a_hot_customer_is_split_when_the_dimension_is_too_large_to_broadcast(
+    clean, star, settings
+):
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20k",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="10k",
+    )
+    hot = F.pmod(F.xxhash64("order_id", "product_id"), F.lit(3)) == 0
+    rows = materialize(
+        clean.withColumn("customer_id", F.when(hot, "CUST0000001").otherwise(F.col("customer_id")))
+        .repartition(8),
+        "hot",
+    )
+    keyed = fact.with_customer_key(rows, star["dim_customer"])
+    assert len(keyed.collect()) == rows.count()
+    assert "SortMergeJoin(skew=true)" in plan_of(keyed)
+
+
+def test_an_upsert_plans_to_read_only_touched_partitions(clean, tmp_path):
+    table = publish.publish(clean, CLEAN, f"{tmp_path}/t", PARTITION_COLUMNS)
+    folders = ["order_year=1997/order_month=3", "order_year=__HIVE_DEFAULT_PARTITION__/order_month=__HIVE_DEFAULT_PARTITION__"]
+    touched = table.filter(publish._folder(PARTITION_COLUMNS).isin(folders))
+    assert "PartitionFilters: [concat_ws" in plan_of(touched)
+    assert touched.select(F.input_file_name()).distinct().count() == 2

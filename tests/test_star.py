@@ -31,6 +31,12 @@ def test_keys_follow_string_order_nulls_first(spark):
     assert keys == {None: 1, "CUST10": 2, "CUST100": 3, "CUST9": 4}
 
 
+def test_numbering_leaves_its_input_as_it_was(spark):
+    frame = spark.createDataFrame([("b",), ("a",)], "k string")
+    assert rows_of(dense_key(frame, "k", "sk")) == rows_of(dense_key(frame, "k", "sk"))
+    assert frame.schema.names == ["k"]
+
+
 def test_keys_equal_a_global_rank_over_many_tasks(spark, settings):
     settings(
         spark__sql__adaptive__coalescePartitions__enabled="false",
