@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from refinery.functions.text import trimmed
-from refinery.operators.cleaning import keep_one_per_key
+from refinery.operators.cleaning import keep_one_per_key, keys_are_there
 from refinery.schemas import BUSINESS_KEY, REQUIRED_KEYS, SURROGATE_KEYS
 
 
@@ -47,14 +46,10 @@ def layer_counts(raw: DataFrame) -> DataFrame:
     needs anyway, and stays exact when a lost executor makes tasks run twice.
     """
     survivors = keep_one_per_key(raw.select(*REQUIRED_KEYS), BUSINESS_KEY, copies="copies")
-    cleaned = survivors.withColumns({key: trimmed(key) for key in REQUIRED_KEYS})
-    complete = F.lit(True)
-    for key in REQUIRED_KEYS:
-        complete = complete & (F.coalesce(key, F.lit("")) != "")
-    return cleaned.agg(
+    return survivors.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("raw_rows"),
         F.count("*").alias("deduplicated_rows"),
-        F.count_if(complete).alias("clean_rows"),
+        F.count_if(keys_are_there(REQUIRED_KEYS)).alias("clean_rows"),
     )
 
 

@@ -94,10 +94,14 @@ def require_keys(
     Blank is a text of nothing but what cleaning takes away. So the filter may stand
     before or after the text step, and before it is cheaper.
     """
+    return rows.filter(keys_are_there(keys, blank_is_missing))
+
+
+def keys_are_there(keys: Sequence[str], blank_is_missing: bool = True) -> Column:
+    there = F.lit(True)
     for key in keys:
-        there = F.trim(key, F.lit(" \x00")) != "" if blank_is_missing else F.isnotnull(key)
-        rows = rows.filter(there)
-    return rows
+        there &= F.trim(key, F.lit(" \x00")) != "" if blank_is_missing else F.isnotnull(key)
+    return there
 
 
 def fill_defaults(rows: DataFrame) -> DataFrame:

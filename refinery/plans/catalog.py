@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refinery import schemas
+from refinery.functions import metrics, text
 from refinery.operators import checks, cleaning, dimensions, fact, publish
 from refinery.plans.refine import refine
 from refinery.plans.star import build_star
@@ -126,11 +127,8 @@ def clean_text(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def repair_encoding(spark: SparkSession, folder: str) -> DataFrame:
-    from refinery.functions.text import repair_encoding as repair
-
-    return raw_orders(spark, folder).select(
-        "order_id", "product_id", repair("customer_name").alias("customer_name")
-    )
+    repaired = text.repair_encoding("customer_name").alias("customer_name")
+    return raw_orders(spark, folder).select("order_id", "product_id", repaired)
 
 
 def parse_dates(spark: SparkSession, folder: str) -> DataFrame:
@@ -241,10 +239,8 @@ def fact_projection(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def fact_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    from refinery.functions.metrics import METRIC_COLUMNS
-
     return _measures(spark, folder).select(
-        "order_id", "product_id", "quantity", "unit_price", "total_amount", *METRIC_COLUMNS
+        "order_id", "product_id", "quantity", "unit_price", "total_amount", *metrics.METRIC_COLUMNS
     )
 
 
