@@ -35,7 +35,21 @@ class Memo(dict):
         return found
 
 
+def reach_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did.
+
+    Enough for a local session started elsewhere than in the repository; on a cluster the
+    package is installed, or given with ``--py-files``.
+    """
+    home = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if home not in known.split(":"):
+        spark.sparkContext.environment["PYTHONPATH"] = f"{known}:{home}".strip(":")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder ``sf_dir``, for operators whose tasks run this package's code."""
+    reach_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

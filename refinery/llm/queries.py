@@ -6,14 +6,41 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from refinery.llm import digest_index, piece_count, rank_bpe, token_store
+from refinery.llm import (
+    boosted_toxicity,
+    conflict_packing,
+    digest_index,
+    ordinal_quality,
+    piece_count,
+    rank_bpe,
+    token_store,
+    word_language,
+)
 from refinery.llm.common import table
 
 
+def op2_conflict_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conflict_packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op3_piece_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_count.count_report(table(spark, sf_dir, "documents"))
 
 
+def op4_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return ordinal_quality.quality_report(docs, labels)
+
+
+def op6_word_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_language.language_report(table(spark, sf_dir, "documents"))
+
+
+def op7_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return boosted_toxicity.toxicity_report(docs, labels)
+
+
 def op8_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_bpe.coding_report(table(spark, sf_dir, "documents"))
 
@@ -27,7 +54,7 @@ def op10_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_piece_count, op8_rank_bpe, op9_token_store, op10_digest_index)
+    f.__name__: f for f in (op2_conflict_packing, op3_piece_count, op4_ordinal_quality, op6_word_language, op7_boosted_toxicity, op8_rank_bpe, op9_token_store, op10_digest_index)
 }
 
 ORACLES: dict[str, str] = {"op10_digest_index": digest_index.ORACLE}
