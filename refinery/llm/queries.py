@@ -13,12 +13,17 @@ from refinery.llm import (
     ordinal_quality,
     piece_count,
     rank_bpe,
+    tensor_dedup,
     token_store,
     word_language,
 )
 from refinery.llm.common import table
 
 
+def op1_tensor_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tensor_dedup.near_groups(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 def op2_conflict_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conflict_packing.pack(table(spark, sf_dir, "documents"))
 
@@ -54,7 +59,7 @@ def op10_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_conflict_packing, op3_piece_count, op4_ordinal_quality, op6_word_language, op7_boosted_toxicity, op8_rank_bpe, op9_token_store, op10_digest_index)
+    f.__name__: f for f in (op1_tensor_dedup, op2_conflict_packing, op3_piece_count, op4_ordinal_quality, op6_word_language, op7_boosted_toxicity, op8_rank_bpe, op9_token_store, op10_digest_index)
 }
 
 ORACLES: dict[str, str] = {"op10_digest_index": digest_index.ORACLE}
