@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from refinery.llm import (
+    ball_tree,
     boosted_toxicity,
     conflict_packing,
     digest_index,
@@ -37,6 +38,10 @@ def op4_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal_quality.quality_report(docs, labels)
 
 
+def op5_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_tree.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op6_word_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_language.language_report(table(spark, sf_dir, "documents"))
 
@@ -59,7 +64,7 @@ def op10_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_tensor_dedup, op2_conflict_packing, op3_piece_count, op4_ordinal_quality, op6_word_language, op7_boosted_toxicity, op8_rank_bpe, op9_token_store, op10_digest_index)
+    f.__name__: f for f in (op1_tensor_dedup, op2_conflict_packing, op3_piece_count, op4_ordinal_quality, op5_ball_tree, op6_word_language, op7_boosted_toxicity, op8_rank_bpe, op9_token_store, op10_digest_index)
 }
 
-ORACLES: dict[str, str] = {"op10_digest_index": digest_index.ORACLE}
+ORACLES: dict[str, str] = {"op5_ball_tree": ball_tree.ORACLE, "op10_digest_index": digest_index.ORACLE}
