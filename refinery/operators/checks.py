@@ -1,14 +1,15 @@
-"""Quality checks. Each is one pass, and returns counts rather than rows."""
+"""Quality checks. Each reads its rows once, and returns counts rather than rows."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StringType, StructType
 
-from refinery.operators.cleaning import keep_one_per_key, keys_are_there
+from refinery.operators.cleaning import clean_keys, keep_one_per_key, keys_are_there
 from refinery.schemas import BUSINESS_KEY, REQUIRED_KEYS, SURROGATE_KEYS
 
 
@@ -45,7 +46,8 @@ def layer_counts(raw: DataFrame) -> DataFrame:
     Counting the copies of each key gives all three from the shuffle that deduplication
     needs anyway, and stays exact when a lost executor makes tasks run twice.
     """
-    survivors = keep_one_per_key(raw.select(*REQUIRED_KEYS), BUSINESS_KEY, copies="copies")
+    rows = clean_keys(raw.select(*REQUIRED_KEYS))
+    survivors = keep_one_per_key(rows, BUSINESS_KEY, copies="copies")
     return survivors.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("raw_rows"),
         F.count("*").alias("deduplicated_rows"),
@@ -57,16 +59,21 @@ def check_orphans(rows: DataFrame, keys: Mapping[str, DataFrame]) -> DataFrame:
     """One row: per key column, how many rows hold a value its dimension lacks.
 
     ``keys`` maps a column of ``rows`` to a one-column table of the values allowed; null
-    values are the business of the null check. Rows are counted per value before the
-    anti join, so a hot value is a single row in that shuffle.
+    values are the business of the null check. All keys are taken from one scan, as pairs
+    of column and value, and counted per pair before the one anti join, so a hot value is
+    a single row in that shuffle.
     """
-    counts = None
+    pair = [F.struct(F.lit(c).alias("key"), F.col(c).cast("string").alias("value")) for c in keys]
+    held = rows.select(F.explode(F.array(*pair)).alias("pair")).select("pair.*")
+    held = held.filter(F.col("value").isNotNull()).groupBy("key", "value").count()
+    known = None
     for column, allowed in keys.items():
-        held = rows.filter(F.col(column).isNotNull()).groupBy(column).count()
-        known = allowed.toDF(column)
-        lost = held.join(known, column, "left_anti").select(F.lit(column).alias("key"), "count")
-        counts = lost if counts is None else counts.unionByName(lost)
-    return counts.agg(
+        named = allowed.toDF("value").select(
+            F.lit(column).alias("key"), F.col("value").cast("string")
+        )
+        known = named if known is None else known.unionByName(named)
+    lost = held.join(known, ["key", "value"], "left_anti")
+    return lost.agg(
         *[
             F.coalesce(F.sum(F.when(F.col("key") == column, F.col("count"))), F.lit(0))
             .alias(f"orphan_{column}")
@@ -75,6 +82,25 @@ def check_orphans(rows: DataFrame, keys: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def loses(kind: DataType, column: Column, cast: Column) -> Column:
+    """Whether a cast changes a value of type ``kind``: casting back gives another one.
+
+    Text is left out, as it has many spellings of one value."""
+    if isinstance(kind, StringType):
+        return F.lit(False)
+    back = cast.try_cast(kind)
+    return F.coalesce(cast.isNotNull() & ~back.eqNullSafe(column), F.lit(False))
+
+
+def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The number of rows of each table, by name."""
+    counts = [
+        df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "rows")
+        for name, df in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def dim_key_conflicts(clean: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
     """Keys that appear with more than one set of attributes."""
     versions = clean.select(key, *attributes).distinct().groupBy(key)
@@ -82,7 +108,8 @@ def dim_key_conflicts(clean: DataFrame, key: str, attributes: Sequence[str]) ->
 
 
 def check_contract(rows: DataFrame, contract: StructType) -> DataFrame:
-    """One row per column: is it declared and there, what fails to cast, what is null."""
+    """One row per column: is it declared and there, what fails to cast or loses by it,
+    what is null."""
     state = {f.name: "declared" if f.name in rows.columns else "missing" for f in contract}
     state |= {c: "undeclared" for c in rows.columns if c not in contract.names}
 
@@ -92,7 +119,8 @@ def check_contract(rows: DataFrame, contract: StructType) -> DataFrame:
             nulls = F.count_if(F.isnull(column))
         if state[column] == "declared":
             cast = F.col(column).try_cast(contract[column].dataType)
-            failures = F.count_if(F.isnull(cast) & F.col(column).isNotNull())
+            lost = loses(rows.schema[column].dataType, F.col(column), cast)
+            failures = F.count_if((F.isnull(cast) & F.col(column).isNotNull()) | lost)
         return F.struct(
             F.lit(column).alias("column"),
             F.lit(state[column]).alias("state"),

@@ -30,10 +30,19 @@ def drop_copies(rows: DataFrame) -> DataFrame:
     return rows.dropDuplicates()
 
 
+def clean_keys(rows: DataFrame, keys: Sequence[str] = tuple(BUSINESS_KEY)) -> DataFrame:
+    """The keys as the text step will leave them, so that padding does not tell keys apart."""
+    return rows.withColumns({key: text.trimmed(key) for key in keys})
+
+
 def keep_one_per_key(
-    rows: DataFrame, keys: Sequence[str] = tuple(BUSINESS_KEY), copies: str | None = None
+    rows: DataFrame,
+    keys: Sequence[str] = tuple(BUSINESS_KEY),
+    copies: str | None = None,
+    latest_by: str | None = None,
 ) -> DataFrame:
     """One row per key: the first by all other columns, ascending, missing ones last.
+    With ``latest_by``, a time, the latest comes before all that.
 
     The choice does not depend on the order or partitioning of the input, and a row with
     a customer beats one without. A minimum merges before the shuffle, so a key holding
@@ -43,6 +52,9 @@ def keep_one_per_key(
     """
     others = [c for c in rows.columns if c not in keys]
     ranked = [part for c in others for part in (_is_missing(rows, c).alias(f"no_{c}"), F.col(c))]
+    if latest_by:
+        latest = -F.unix_micros(F.col(latest_by).cast("timestamp"))
+        ranked = [F.isnull(latest_by).alias("_undated"), latest.alias("_age"), *ranked]
     found = [F.min(F.struct(*ranked)).alias("_least")]
     if copies:
         found.append(F.count("*").alias(copies))

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import contextvars
+import uuid
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from refinery.operators.checks import loses
 from refinery.operators.cleaning import keep_one_per_key
 from refinery.schemas import BUSINESS_KEY, PARTITION_COLUMNS
-from refinery.session import materialize
+from refinery.session import delete, file_system, materialize, temporary
 from refinery.sources.files import read_table, write_table
 
 # How Spark names the folder of a null partition value.
@@ -20,8 +25,8 @@ _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 def conform(df: DataFrame, contract: StructType, allow_undeclared: bool = False) -> DataFrame:
     """``df`` in the contract's columns, order and types, matched by name.
 
-    Drift in names fails here. A value that does not cast, or a null in a required
-    column, fails the job that writes the result: the test is part of its projection
+    Drift in names fails here. A value that does not cast or that a cast would change (a
+    fraction to an integer, a time to a date), or a null in a required column, fails the job that writes the result: the test is part of its projection
     and costs no pass of its own.
     """
     missing = [c for c in contract.names if c not in df.columns]
@@ -37,51 +42,146 @@ def _checked(df: DataFrame, field: StructField) -> Column:
     if df.schema[field.name].dataType != field.dataType:
         cast = column.try_cast(field.dataType)
         broken = F.raise_error(F.concat(F.lit(f"{field.name} does not cast: "), column.cast("string")))
-        cast = F.when(cast.isNull() & column.isNotNull(), broken).otherwise(cast)
+        lost = loses(df.schema[field.name].dataType, column, cast)
+        cast = F.when((cast.isNull() & column.isNotNull()) | lost, broken).otherwise(cast)
     if not field.nullable:
         cast = F.coalesce(cast, F.raise_error(F.lit(f"{field.name} is required")))
     return cast.cast(field.dataType)
 
 
+@contextmanager
+def replacing(spark: SparkSession, path: str) -> Iterator[str]:
+    """A folder beside ``path`` to fill; when the block ends it takes the place of ``path``.
+
+    If the block fails, the folder goes and ``path`` stays as it was. The old folder is
+    moved aside first and deleted last; should the driver be lost between the two moves,
+    the next ``replacing`` or ``restore`` brings the old one back.
+    """
+    restore(spark, path)
+    staged, aside = f"{path}.staged-{uuid.uuid4().hex}", f"{path}.replaced"
+    try:
+        yield staged
+    except BaseException:
+        delete(spark, staged)
+        raise
+    system, at = file_system(spark, path)
+    old, new = file_system(spark, aside)[1], file_system(spark, staged)[1]
+    if system.exists(at):
+        _move(system, at, old)
+    _move(system, new, at)
+    system.delete(old, True)
+    spark.catalog.refreshByPath(path)
+
+
+def restore(spark: SparkSession, path: str) -> None:
+    """Bring back a table that was moved aside by a replacement that never ended."""
+    system, at = file_system(spark, path)
+    aside = file_system(spark, f"{path}.replaced")[1]
+    if system.exists(aside):
+        if system.exists(at):
+            system.delete(aside, True)
+        else:
+            _move(system, aside, at)
+
+
+def _move(system, source, target) -> None:
+    if not system.rename(source, target):
+        raise OSError(f"could not move {source.toString()} to {target.toString()}")
+
+
 def publish(
     df: DataFrame, contract: StructType, path: str, partition_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Replace the table at ``path``, creating it if absent; returns the stored table."""
-    write_table(conform(df, contract), path, partition_by)
+    """Replace the table at ``path``, creating it if absent; returns the stored table.
+
+    The new table is written beside the old one, which stays until all of it is there.
+    """
+    with replacing(df.sparkSession, path) as staged:
+        write_table(conform(df, contract), staged, partition_by)
     return read_table(df.sparkSession, path, contract)
 
 
 def publish_all(
-    tables: dict[str, tuple[DataFrame, StructType]], root: str
+    tables: Mapping[str, Callable[[], DataFrame]], contracts: Mapping[str, StructType], root: str
 ) -> dict[str, DataFrame]:
-    return {
-        name: publish(df, contract, f"{root}/{name}") for name, (df, contract) in tables.items()
-    }
+    """Build and store independent tables under ``root``, which is new, at the same time."""
+
+    def one(name: str) -> DataFrame:
+        df = tables[name]()
+        write_table(conform(df, contracts[name]), f"{root}/{name}")
+        return read_table(df.sparkSession, f"{root}/{name}", contracts[name])
+
+    return at_once({name: lambda name=name: one(name) for name in tables})
+
+
+def at_once(work: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    """The results of independent functions that start Spark jobs, run side by side."""
+    with ThreadPoolExecutor(len(work)) as pool:
+        running = {k: pool.submit(contextvars.copy_context().run, f) for k, f in work.items()}
+        return {name: result.result() for name, result in running.items()}
 
 
 def publish_to_catalog(
     df: DataFrame, contract: StructType, table: str, partition_by: Sequence[str] = ()
 ) -> DataFrame:
-    """As ``publish``, into a table of the session's catalog."""
+    """As ``publish``, into a table of the session's catalog: a new table is filled under
+    another name, which it then exchanges for that of the old one."""
+    spark = df.sparkSession
     rows = conform(df, contract)
     if partition_by:
         rows = rows.hint("rebalance", *partition_by)
-    writer = rows.write.mode("overwrite").format("parquet")
+    mark = uuid.uuid4().hex
+    staged, aside = f"{table}__staged_{mark}", f"{table}__replaced_{mark}"
+    writer = rows.write.format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(table)
-    return df.sparkSession.table(table).select(*contract.names)
+    try:
+        writer.saveAsTable(staged)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {staged}")
+        raise
+    exists = spark.catalog.tableExists(table)
+    if exists:
+        spark.sql(f"ALTER TABLE {table} RENAME TO {aside}")
+    try:
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+    except BaseException:
+        if exists:
+            spark.sql(f"ALTER TABLE {aside} RENAME TO {table}")
+        raise
+    if exists:
+        spark.sql(f"DROP TABLE {aside}")
+    return spark.table(table).select(*contract.names)
+
+
+def newest_of(
+    existing: DataFrame, batch: DataFrame, keys: Sequence[str], order_by: str | None
+) -> DataFrame:
+    """The latest row of ``batch`` for each key, if ``existing`` has none that is later.
+
+    Stored, as it is used twice. At equal times the batch counts as the later load.
+    """
+    newest = materialize(keep_one_per_key(batch, keys, latest_by=order_by), "batch")
+    if order_by is None:
+        return newest
+    held = existing.select(*keys, F.col(order_by).alias("_held"))
+    later = newest.join(held, list(keys)).filter(F.col("_held") > F.col(order_by))
+    return newest.join(later.select(*keys), list(keys), "left_anti").select(*newest.columns)
 
 
 def upsert(
-    existing: DataFrame, batch: DataFrame, keys: Sequence[str] = tuple(BUSINESS_KEY)
+    existing: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str] = tuple(BUSINESS_KEY),
+    order_by: str | None = "processed_at",
 ) -> DataFrame:
-    """``existing`` with the rows of ``batch`` in place of those with the same key.
+    """``existing`` with the latest rows of ``batch`` in place of those with the same key.
 
+    The order is that of ``order_by``, over both; without it any row of the batch replaces.
     ``existing`` holds one row per key, so it only has to be probed: with a batch small
     enough to broadcast, which Spark decides by its size, the large table is not moved.
     """
-    newest = keep_one_per_key(batch, keys)
+    newest = newest_of(existing, batch, keys, order_by)
     untouched = existing.join(newest, list(keys), "left_anti")
     return untouched.unionByName(newest).select(*existing.columns)
 
@@ -93,6 +193,7 @@ def upsert_table(
     batch: DataFrame,
     keys: Sequence[str] = tuple(BUSINESS_KEY),
     partition_by: Sequence[str] = tuple(PARTITION_COLUMNS),
+    order_by: str | None = "processed_at",
 ) -> DataFrame:
     """Merge ``batch`` into a partitioned table, rewriting only the partitions it touches.
 
@@ -101,19 +202,23 @@ def upsert_table(
     partitions, of which a table has few. Partition values are numbers or dates, whose
     folder name is their text.
     """
-    existing = read_table(spark, path, contract)
-    newest = materialize(keep_one_per_key(conform(batch, contract), keys), "batch")
-    folder = _folder(partition_by).alias("folder")
-
-    replaced = existing.join(newest.select(*keys), list(keys), "left_semi")
-    touched = _values(replaced.select(folder).unionByName(newest.select(folder)))
-    affected = existing.filter(_folder(partition_by).isin(touched))
-    merged = materialize(conform(upsert(affected, newest, keys), contract), "merged")
-
-    write_table(merged, path, partition_by, only_partitions_present=True)
-    nothing = merged.drop(*partition_by).limit(0)
-    for emptied in set(touched) - set(_values(merged.select(folder))):
-        nothing.write.mode("overwrite").parquet(f"{path}/{emptied}")
+    with temporary(spark):
+        existing = read_table(spark, path, contract)
+        newest = newest_of(existing, conform(batch, contract), keys, order_by)
+        newest = materialize(newest, "newest")
+        folder = _folder(partition_by).alias("folder")
+
+        replaced = existing.join(newest.select(*keys), list(keys), "left_semi")
+        touched = _values(replaced.select(folder).unionByName(newest.select(folder)))
+        affected = existing.filter(_folder(partition_by).isin(touched))
+        untouched = affected.join(newest, list(keys), "left_anti")
+        merged = untouched.unionByName(newest).select(*existing.columns)
+        merged = materialize(conform(merged, contract), "merged")
+
+        write_table(merged, path, partition_by, only_partitions_present=True)
+        nothing = merged.drop(*partition_by).limit(0)
+        for emptied in set(touched) - set(_values(merged.select(folder))):
+            nothing.write.mode("overwrite").parquet(f"{path}/{emptied}")
     spark.catalog.refreshByPath(path)
     return read_table(spark, path, contract)
 

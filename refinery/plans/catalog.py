@@ -6,18 +6,29 @@ out of the results: they differ from run to run.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from refinery import schemas
 from refinery.functions import metrics, text
 from refinery.operators import checks, cleaning, dimensions, fact, publish
+from refinery.plans.pipeline import star_layer
 from refinery.plans.refine import refine
 from refinery.plans.star import build_star
-from refinery.schemas import AUDIT_COLUMNS, CLEAN, DIM_DATE, FACT_SALES, PARTITION_COLUMNS, RAW
+from refinery.schemas import (
+    AUDIT_COLUMNS,
+    CLEAN,
+    DIM_DATE,
+    DIM_REGION,
+    FACT_SALES,
+    PARTITION_COLUMNS,
+    RAW,
+)
 from refinery.session import materialize, scratch_path
 from refinery.sources.derived_orders import raw_orders
 from refinery.sources.files import read_csv, read_table, write_csv
@@ -28,6 +39,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 RUN_AT = datetime(2024, 1, 1, tzinfo=timezone.utc)
 
 
+# Status, last digits of the order id and days since the run, of versions in a later batch.
+VERSIONS = [
+    ("returned", ("0", "2", "4", "6", "8"), 1),
+    ("shipped", ("0", "4"), 2),
+    ("lost", ("1", "2", "6"), -1),
+]
+
+
 def _refined(spark: SparkSession, folder: str, variant: str = "settled") -> DataFrame:
     return refine(raw_orders(spark, folder, variant), RUN_AT)
 
@@ -89,6 +108,27 @@ def publish_fact(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def publish_star(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact of a star schema that was published as a whole, twice."""
+    clean, star = scratch_path(spark, "clean-table"), scratch_path(spark, "star")
+    publish.publish(_refined(spark, folder), CLEAN, clean, PARTITION_COLUMNS)
+    star_layer(spark, clean, star, RUN_AT)
+    return _without_audit(star_layer(spark, clean, star, RUN_AT)["fact_sales"])
+
+
+def publish_catalog(spark: SparkSession, folder: str) -> DataFrame:
+    """A dimension in the session's catalog, replaced by a later one."""
+    database = f"refinery_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'database')}'")
+    regions = materialize(dim_region(spark, folder), "regions")
+    publish.publish_to_catalog(regions.limit(1), DIM_REGION, f"{database}.dim_region")
+    return publish.publish_to_catalog(regions, DIM_REGION, f"{database}.dim_region")
+
+
+def table_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return checks.table_counts(_star(spark, folder))
+
+
 def publish_dim_date(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "dim-date")
     return publish.publish(dim_date(spark, folder), DIM_DATE, path)
@@ -111,6 +151,28 @@ def incremental_upsert_table(spark: SparkSession, folder: str) -> DataFrame:
     return _without_audit(publish.upsert_table(spark, path, CLEAN, _returned(clean)))
 
 
+def _versions(clean: DataFrame) -> DataFrame:
+    """A batch with several versions of some keys, some of them older than the table."""
+    parts = [
+        clean.filter(F.substring("order_id", -1, 1).isin(*digits)).withColumns(
+            {"status": F.lit(status), "processed_at": F.col("processed_at") + F.expr(f"INTERVAL {days} DAYS")}
+        )
+        for status, digits, days in VERSIONS
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def incremental_upsert_latest(spark: SparkSession, folder: str) -> DataFrame:
+    clean = _stored(spark, folder)
+    return _without_audit(publish.upsert(clean, _versions(clean)))
+
+
+def incremental_upsert_latest_table(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "clean-upserted")
+    clean = publish.publish(_refined(spark, folder), CLEAN, path, PARTITION_COLUMNS)
+    return _without_audit(publish.upsert_table(spark, path, CLEAN, _versions(clean)))
+
+
 # Cleaning
 
 
@@ -170,6 +232,21 @@ def refined(spark: SparkSession, folder: str) -> DataFrame:
     return _without_audit(_refined(spark, folder))
 
 
+def refine_rough(spark: SparkSession, folder: str) -> DataFrame:
+    return _without_audit(_refined(spark, folder, "rough"))
+
+
+def build_fact_rough(spark: SparkSession, folder: str) -> DataFrame:
+    return _without_audit(build_star(_stored(spark, folder, "rough"), RUN_AT)["fact_sales"])
+
+
+def roundtrip_csv_rough(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "rough-csv")
+    write_csv(_refined(spark, folder, "rough"), path)
+    rows = read_csv(spark, path, CLEAN, pattern="*.csv", multi_line=True, keep_blanks=True)
+    return _without_audit(rows)
+
+
 # Dimensions
 
 
@@ -292,11 +369,24 @@ def check_contract(spark: SparkSession, folder: str) -> DataFrame:
     return checks.check_contract(raw_orders(spark, folder).select(*RAW.names), CLEAN)
 
 
+def check_contract_lossy(spark: SparkSession, folder: str) -> DataFrame:
+    """Fractions where integers are declared, and times where dates are."""
+    half = F.when(F.substring("order_id", -1, 1).isin("0", "2", "4", "6", "8"), 1).otherwise(0)
+    rows = _refined(spark, folder).select(
+        "order_id",
+        (F.col("quantity") + half / 2).alias("quantity"),
+        F.timestamp_add("HOUR", half, F.col("order_date").cast("timestamp")).alias("order_date"),
+    )
+    return checks.check_contract(rows, StructType([CLEAN[c] for c in rows.columns]))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in [
         scan_raw, scan_clean, roundtrip_csv, partition_pruned_scan, publish_fact,
-        publish_dim_date, incremental_upsert, incremental_upsert_table,
+        publish_star, publish_catalog, table_counts, incremental_upsert_latest,
+        incremental_upsert_latest_table, refine_rough, build_fact_rough, roundtrip_csv_rough,
+        check_contract_lossy, publish_dim_date, incremental_upsert, incremental_upsert_table,
         dedup_rows, dedup_business_key, clean_text, repair_encoding, parse_dates,
         cast_numbers, require_keys, fill_defaults, flag_missing_dates, flag_amount_mismatch,
         dim_customer, dim_customer_moved, dim_customer_versions, dim_product, dim_date,

@@ -179,6 +179,48 @@ def _upserted() -> str:
     )
 
 
+def _latest() -> str:
+    """The latest of all versions, those of the table and those of the batch."""
+    versions = """SELECT *, 0 AS age FROM clean
+      UNION ALL SELECT * REPLACE ('returned' AS status), 1 FROM clean
+        WHERE right(order_id, 1) IN ('0', '2', '4', '6', '8')
+      UNION ALL SELECT * REPLACE ('shipped' AS status), 2 FROM clean
+        WHERE right(order_id, 1) IN ('0', '4')
+      UNION ALL SELECT * REPLACE ('lost' AS status), -1 FROM clean
+        WHERE right(order_id, 1) IN ('1', '2', '6')"""
+    return _clean(
+        f"""SELECT {_CLEAN_COLUMNS} FROM (SELECT *, row_number() OVER (
+          PARTITION BY order_id, product_id ORDER BY age DESC) AS n FROM ({versions}))
+        WHERE n = 1"""
+    )
+
+
+def _rough(select: str) -> str:
+    """Duplicates by key without padding; blank text counts as missing, which comes last."""
+    blank = "CASE WHEN coalesce(trim({0}, ' '), '') = '' THEN 1 ELSE 0 END, {0}"
+    others = ", ".join(blank.format(c) for c in _RAW_OTHERS)
+    keys = ", ".join(f"{_trimmed(c)} AS {c}" for c in ("order_id", "product_id"))
+    deduplicated = f"""padded AS ({raw_orders_sql('rough')}),
+deduplicated AS (
+  SELECT * EXCLUDE (n) FROM (
+    SELECT *, row_number() OVER (PARTITION BY order_id, product_id ORDER BY {others}) AS n
+    FROM (SELECT * REPLACE ({keys}) FROM padded))
+  WHERE n = 1)"""
+    return f"WITH {_CLEAN.replace(_DEDUP, deduplicated)} {select}"
+
+
+def _lossy() -> str:
+    return _clean(
+        f"""SELECT 'order_id' AS "column", 'declared' AS state, CAST(0 AS BIGINT) AS cast_failures,
+          count(*) FILTER (order_id IS NULL) AS nulls FROM clean
+        UNION ALL SELECT 'quantity', 'declared', count(*) FILTER ({_EVEN} AND quantity IS NOT NULL),
+          count(*) FILTER (quantity IS NULL) FROM clean
+        UNION ALL SELECT 'order_date', 'declared',
+          count(*) FILTER ({_EVEN} AND order_date IS NOT NULL),
+          count(*) FILTER (order_date IS NULL) FROM clean"""
+    )
+
+
 def _orphans() -> str:
     def count(key: str) -> str:
         return f"""(SELECT count(*) FROM clean WHERE {key} IS NOT NULL AND {key} NOT IN
@@ -220,6 +262,23 @@ ORACLES: dict[str, str] = {
         f"SELECT {_CLEAN_COLUMNS} FROM clean WHERE order_year = 1997 AND order_month <= 6"
     ),
     "publish_fact": _star(f"SELECT {_FACT_COLUMNS} FROM fact"),
+    "publish_star": _star(f"SELECT {_FACT_COLUMNS} FROM fact"),
+    "publish_catalog": _clean(f", {_DIM_REGION} SELECT * FROM dim_region"),
+    "table_counts": _star(
+        " UNION ALL ".join(
+            f"""SELECT '{name}' AS "table", count(*) AS rows FROM {sql}"""
+            for name, sql in [
+                ("dim_customer", "dim_customer"), ("dim_product", "dim_product"),
+                ("dim_date", "dim_date"), ("dim_region", "dim_region"), ("fact_sales", "fact"),
+            ]
+        )
+    ),
+    "incremental_upsert_latest": _latest(),
+    "incremental_upsert_latest_table": _latest(),
+    "refine_rough": _rough(f"SELECT {_CLEAN_COLUMNS} FROM clean"),
+    "build_fact_rough": _rough(f", {_FACT} SELECT {_FACT_COLUMNS} FROM fact"),
+    "roundtrip_csv_rough": _rough(f"SELECT {_CLEAN_COLUMNS} FROM clean"),
+    "check_contract_lossy": _lossy(),
     "publish_dim_date": _clean(f", {_DIM_DATE} SELECT * FROM dim_date"),
     "incremental_upsert": _upserted(),
     "incremental_upsert_table": _upserted(),

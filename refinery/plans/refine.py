@@ -16,15 +16,18 @@ def refine(
     run_at: datetime | None = None,
     day_first: bool = False,
     blank_is_missing: bool = True,
+    padded_keys_differ: bool = False,
 ) -> DataFrame:
     """Deduplicate, require keys, standardise, parse, fill, flag and derive.
 
     One shuffle, for the deduplication; the rest is a projection over its result. The
     filter on the business key applies to whole groups, so Catalyst moves it before the
     shuffle. The one on the customer stays behind it, for a missing customer decides
-    which duplicate is kept.
+    which duplicate is kept. Keys that differ in padding alone are one key, or the result
+    would hold it twice; ``padded_keys_differ`` compares them as written.
     """
-    rows = cleaning.keep_one_per_key(raw)
+    rows = raw if padded_keys_differ else cleaning.clean_keys(raw)
+    rows = cleaning.keep_one_per_key(rows)
     rows = cleaning.require_keys(rows, blank_is_missing=blank_is_missing)
     rows = cleaning.clean_text(rows)
     rows = cleaning.parse_dates(rows, day_first)

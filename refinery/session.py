@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,22 +22,31 @@ SETTINGS = {
 
 _local_root: str | None = None
 
+# The scratch folders of the innermost ``temporary`` block.
+_kept: ContextVar[list[str] | None] = ContextVar("kept", default=None)
 
-def open_session(app: str = "refinery", **conf: str) -> SparkSession:
+
+def open_session(
+    app: str = "refinery", shuffle_partitions: int | None = None, **conf: str
+) -> SparkSession:
     """A session with the settings above; ``conf`` (dots as ``__``) overrides them.
 
-    On a cluster, size ``spark.sql.shuffle.partitions`` to the input (a few hundred
-    megabytes of shuffled data per partition) and let AQE merge what is left over.
+    ``shuffle_partitions`` is the number of pieces that shuffles start with. AQE merges
+    small pieces but does not split those of an aggregation, so name a high number: the
+    bytes of the raw input over 200 MB, or more.
     """
     builder = SparkSession.builder.appName(app)
     overrides = {k.replace("__", "."): v for k, v in conf.items()}
+    if shuffle_partitions:
+        overrides["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     for key, value in {**SETTINGS, **overrides}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
+    """The folder all executors can reach: ``spark.checkpoint.dir``, or else what
+    ``setCheckpointDir`` was told.
 
     Only a local session, where driver and executors share one disk, may fall back
     to a temporary folder.
@@ -43,6 +55,9 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    told = getattr(spark.sparkContext, "getCheckpointDir", lambda: None)()
+    if told:
+        return told.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     if _local_root is None:
@@ -52,7 +67,38 @@ def shared_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder."""
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    if (kept := _kept.get()) is not None:
+        kept.append(path)
+    return path
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch tables made inside this block when it ends.
+
+    For work that stores its result elsewhere before it ends. Threads take part if they
+    run in a copy of the context.
+    """
+    paths: list[str] = []
+    mark = _kept.set(paths)
+    try:
+        yield
+    finally:
+        _kept.reset(mark)
+        for path in paths:
+            delete(spark, path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path``, and the path as it knows it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    system, at = file_system(spark, path)
+    system.delete(at, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

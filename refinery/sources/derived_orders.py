@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from refinery.schemas import RAW
-from refinery.sources.files import spread
 
 TABLES = ["lineitem", "orders", "customer", "nation", "part"]
 
@@ -82,6 +81,29 @@ SELECT
 FROM placed
 """
 
+# Rows as above with what the generated tables lack: keys padded in one of two copies, blank
+# attributes, line breaks, and broken encodings in every text column.
+ROUGH_SQL = """
+WITH even AS ({raw})
+SELECT
+  CASE WHEN right(order_id, 1) = '4' THEN '  ' || order_id ELSE order_id END AS order_id,
+  CASE WHEN right(order_id, 1) = '6' THEN customer_id || '  ' ELSE customer_id END AS customer_id,
+  CASE WHEN right(order_id, 1) = '3' THEN ''
+       WHEN right(order_id, 1) = '5' THEN customer_name || chr(10) || '"Ltd"'
+       ELSE customer_name END AS customer_name,
+  product_id,
+  CASE WHEN right(order_id, 1) = '2' THEN '   ' ELSE product_name END AS product_name,
+  CASE WHEN right(order_id, 1) = '7' THEN ' CafÃ© ' || category ELSE category END AS category,
+  quantity, unit_price, total_amount, order_date,
+  CASE WHEN right(order_id, 1) = '8' THEN region || 'â€™s' ELSE region END AS region,
+  CASE WHEN right(order_id, 1) = '9' THEN '' ELSE status END AS status
+FROM even
+UNION ALL
+SELECT order_id || ' ', customer_id, customer_name, ' ' || product_id, product_name, category,
+       quantity, unit_price, total_amount, order_date, region, status
+FROM even WHERE right(order_id, 2) = '21'
+"""
+
 # A customer normally stays in one region; the moved variant makes ids conflict.
 REGION_RULES = {
     "settled": "reg",
@@ -92,12 +114,19 @@ REGION_RULES = {
 def raw_orders_sql(variant: str = "settled", **tables: str) -> str:
     """The text, over the tables' own names or those given."""
     names = {table: tables.get(table, table) for table in TABLES}
-    return RAW_ORDERS_SQL.format(region_rule=REGION_RULES[variant], **names)
+    rule = REGION_RULES.get(variant, REGION_RULES["settled"])
+    text = RAW_ORDERS_SQL.format(region_rule=rule, **names)
+    return ROUGH_SQL.replace("{raw}", text) if variant == "rough" else text
 
 
-def raw_orders(spark: SparkSession, folder: str, variant: str = "settled") -> DataFrame:
+def raw_orders(
+    spark: SparkSession, folder: str, variant: str = "settled", partitions: int | None = None
+) -> DataFrame:
+    """``partitions`` deals the order lines out first, for a table of one large row group."""
     tables = {name: spark.read.parquet(f"{folder}/{name}.parquet") for name in TABLES}
     used = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount"]
-    tables["lineitem"] = spread(tables["lineitem"].select(*used))
+    tables["lineitem"] = tables["lineitem"].select(*used)
+    if partitions is not None:
+        tables["lineitem"] = tables["lineitem"].repartition(partitions)
     text = raw_orders_sql(variant, **{name: "{" + name + "}" for name in TABLES})
     return spark.sql(text, **tables).select(*RAW.names)

@@ -19,14 +19,8 @@ _CSV = {
 }
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows out to all cores when the input comes in fewer pieces than those.
-
-    A file that cannot be split (line breaks in quotes, one large row group) would keep
-    every later step on one task. Input of many pieces is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+# A text that no layer holds: with it for null, the reader tells "" (blank) from nothing (null).
+_NO_TEXT = "\ue000null"
 
 
 def read_csv(
@@ -36,13 +30,17 @@ def read_csv(
     multi_line: bool = False,
     corrupt_column: str | None = None,
     pattern: str = "*",
+    partitions: int | None = None,
+    keep_blanks: bool = False,
     **options: str,
 ) -> DataFrame:
     """CSV part files of a folder under a fixed schema; nothing is inferred.
 
     ``multi_line`` admits line breaks inside quotes, but then a file cannot be split:
-    keep such input in many files; rows of a few are dealt out after reading. ``corrupt_column`` names a column that receives the
-    whole text of records with too few or too many fields.
+    keep such input in many files, or name the ``partitions`` its rows are dealt out to
+    after reading. ``corrupt_column`` names a column that receives the whole text of
+    records with too few or too many fields. ``keep_blanks`` reads a quoted blank, as
+    ``write_csv`` writes it, as a blank instead of a null.
     """
     reader = (
         spark.read.options(**_CSV)
@@ -53,13 +51,18 @@ def read_csv(
     )
     if corrupt_column:
         schema = StructType([*schema.fields, StructField(corrupt_column, StringType())])
+        # A record is only known to be broken when all of its fields are parsed.
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
+        reader = reader.option("columnPruning", False)
+    if keep_blanks:
+        reader = reader.option("nullValue", _NO_TEXT)
     rows = reader.schema(schema).csv(path if isinstance(path, str) else list(path))
-    return spread(rows) if multi_line else rows
+    return rows if partitions is None else rows.repartition(partitions)
 
 
 def write_csv(df: DataFrame, path: str, max_records_per_file: int = 0, **options: str) -> None:
-    """Replace ``path`` with CSV part files, one per task or smaller."""
+    """Replace ``path`` with CSV part files, one per task or smaller. Blanks are quoted,
+    nulls are not."""
     (
         df.write.mode("overwrite")
         .options(**_CSV)

@@ -4,37 +4,65 @@ from __future__ import annotations
 
 import argparse
 
-from refinery.plans.pipeline import clean_layer, report, star_layer
+from refinery.plans.pipeline import clean_layer, clean_report, raw_report, report, star_layer
 from refinery.session import open_session
+from refinery.sources.files import read_table
+from refinery.schemas import CLEAN
 
 
-def main() -> None:
+def arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("step", choices=["clean", "star", "all"])
     parser.add_argument("--raw", help="folder or file of raw CSV")
     parser.add_argument("--clean", required=True, help="folder of the clean table")
     parser.add_argument("--star", help="folder of the star schema")
+    parser.add_argument("--reports", help="folder for the reports, each a table; replaced")
+    parser.add_argument("--rows", type=int, default=20, help="rows of a report that are printed")
+    parser.add_argument("--incremental", action="store_true", help="merge into the clean table")
     parser.add_argument("--multi-line", action="store_true", help="line breaks inside quotes")
+    parser.add_argument("--partitions", type=int, help="deal raw rows out to so many tasks")
     parser.add_argument("--day-first", action="store_true", help="05-01-2024 is 5 January")
     parser.add_argument("--all-versions", action="store_true", help="keep conflicting attributes")
+    parser.add_argument(
+        "--shuffle-partitions",
+        type=int,
+        help="pieces that shuffles start with: bytes of raw input over 200 MB, or more",
+    )
     args = parser.parse_args()
     if args.step != "star" and not args.raw:
         parser.error("--raw is needed to build the clean table")
     if args.step != "clean" and not args.star:
         parser.error("--star is needed to build the star schema")
+    return args
+
 
-    spark = open_session()
+def main() -> None:
+    args = arguments()
+    spark = open_session(shuffle_partitions=args.shuffle_partitions)
+    reports = {}
     if args.step != "star":
         clean = clean_layer(
-            spark, args.raw, args.clean, multi_line=args.multi_line, day_first=args.day_first
+            spark,
+            args.raw,
+            args.clean,
+            multi_line=args.multi_line,
+            day_first=args.day_first,
+            incremental=args.incremental,
+            partitions=args.partitions,
         )
         clean.printSchema()
+        reports |= raw_report(spark, args.raw, args.multi_line, args.partitions)
     if args.step != "clean":
         star = star_layer(spark, args.clean, args.star, all_versions=args.all_versions)
         star["fact_sales"].printSchema()
-        for name, rows in report(star).items():
-            print(name)
-            rows.show(24, truncate=False)
+        reports |= report(star)
+    reports |= clean_report(read_table(spark, args.clean, CLEAN))
+    for name, rows in reports.items():
+        if args.reports:
+            rows.write.mode("overwrite").parquet(f"{args.reports}/{name}")
+            rows = spark.read.parquet(f"{args.reports}/{name}")
+        print(f"{name}: {rows.count()} rows, of which {args.rows} at most follow")
+        rows.show(args.rows, truncate=False)
     spark.stop()
 
 
