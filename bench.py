@@ -18,7 +18,7 @@ HEADLINE = [
     "refine", "dedup_business_key", "clean_text", "parse_dates", "dim_customer",
     "dim_product", "dim_region", "dim_date", "build_fact", "revenue_by_band",
     "orders_by_month", "quality_summary", "layer_counts", "check_orphans",
-    "publish_fact", "incremental_upsert",
+    "publish_fact", "incremental_upsert", "publish_star", "incremental_upsert_latest",
 ]
 
 
@@ -32,6 +32,7 @@ def main() -> None:
         spark__master=f"local[{cpus}]",
         spark__driver__memory="16g",
         spark__sql__shuffle__partitions=cpus,
+        refinery__rawPartitions=cpus,  # the generated order lines are one row group
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
     )

@@ -122,11 +122,13 @@ def raw_orders_sql(variant: str = "settled", **tables: str) -> str:
 def raw_orders(
     spark: SparkSession, folder: str, variant: str = "settled", partitions: int | None = None
 ) -> DataFrame:
-    """``partitions`` deals the order lines out first, for a table of one large row group."""
+    """``partitions``, or else the session's ``refinery.rawPartitions``, deals the order lines
+    out first, for a table of one large row group. Without either nothing is moved."""
+    partitions = partitions or int(spark.conf.get("refinery.rawPartitions", "0"))
     tables = {name: spark.read.parquet(f"{folder}/{name}.parquet") for name in TABLES}
     used = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount"]
     tables["lineitem"] = tables["lineitem"].select(*used)
-    if partitions is not None:
+    if partitions:
         tables["lineitem"] = tables["lineitem"].repartition(partitions)
     text = raw_orders_sql(variant, **{name: "{" + name + "}" for name in TABLES})
     return spark.sql(text, **tables).select(*RAW.names)
