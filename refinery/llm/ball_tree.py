@@ -29,8 +29,8 @@ from refinery.llm.common import shuffle_partitions
 from refinery.session import materialize
 
 K = 20
-SHARD_ROWS, BLOCK_ROWS, LEAF_ROWS = 8_192, 1_024, 128
-CHAIN = 8  # shards that one task takes through a block of queries
+SHARD_ROWS, BLOCK_ROWS, LEAF_ROWS = 8_192, 2_048, 128
+CHAIN = 4  # shards that one task takes through a block of queries
 LOWEST = np.iinfo(np.int64).min
 
 
@@ -78,10 +78,11 @@ class TopK:
     def products(self, rows: np.ndarray, vectors: np.ndarray) -> np.ndarray:
         """Exact products: in floating point where all sums stay below 2^53."""
         mine = self.vectors[rows]
-        most = float(np.abs(mine).max(initial=0)) * float(np.abs(vectors).max(initial=0)) * max(1, vectors.shape[1])
+        theirs = vectors.T.astype(np.float64)
+        most = float(np.abs(self.floats[rows]).max(initial=0)) * float(np.abs(theirs).max(initial=0)) * max(1, len(theirs))
         if most < 2**53:
-            return (self.floats[rows] @ vectors.T.astype(np.float64)).astype(np.int64)
-        return mine @ vectors.T
+            return (self.floats[rows] @ theirs).astype(np.int64)
+        return mine.astype(np.int64) @ vectors.T.astype(np.int64)
 
     def bound(self, rows: np.ndarray, tree: BallTree, node: int) -> np.ndarray:
         reach = self.lengths[rows] * tree.radii[node]
@@ -132,11 +133,13 @@ def whole_vectors(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
 
 
 def arrays(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Ids in order, one row each, and their vectors."""
+    """Ids in order, one row each, and their vectors, in the narrowest type that holds them."""
     pairs = sorted((int(i), tuple(x)) for i, x in zip(rows["id"], rows["x"]))
     first = {i: x for i, x in reversed(pairs)}
     ids = np.array(sorted(first), dtype=np.int64)
-    return ids, np.array([first[i] for i in ids.tolist()], dtype=np.int64).reshape(len(ids), -1)
+    vectors = np.array([first[i] for i in ids.tolist()], dtype=np.int64).reshape(len(ids), -1)
+    most = int(max(vectors.max(initial=0), ~vectors.min(initial=0)))
+    return ids, vectors.astype(next(t for t in (np.int16, np.int32, np.int64) if most <= np.iinfo(t).max))
 
 
 def packed(rows: DataFrame, count: int, size: int, make, label: str) -> tuple[DataFrame, int]:
@@ -152,14 +155,27 @@ def packed(rows: DataFrame, count: int, size: int, make, label: str) -> tuple[Da
     return materialize(found, label), parts
 
 
-def top_k(vectors: DataFrame, every: int = 20, k: int = K, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
+def top_k(
+    vectors: DataFrame,
+    every: int = 20,
+    k: int = K,
+    vec_id: str = "vec_id",
+    embedding: str = "embedding",
+    shard_rows: int | None = None,
+    block_rows: int | None = None,
+) -> DataFrame:
     """query_id, rank, vec_id and score of the k best candidates of each vector whose id is
-    divisible by ``every``, among all others."""
+    divisible by ``every``, among all others.
+
+    Every shard meets every block of queries, so the bytes that are shuffled fall as
+    ``shard_rows`` and ``block_rows`` rise; a task holds one of each.
+    """
+    shard_rows, block_rows = shard_rows or SHARD_ROWS, block_rows or BLOCK_ROWS
     spark = vectors.sparkSession
     whole = materialize(whole_vectors(vectors, vec_id, embedding), "vectors")
     asked = whole.filter(F.col("id") % every == 0)
-    trees, shards = packed(whole, whole.count(), SHARD_ROWS, BallTree, "trees")
-    blocks, count = packed(asked, asked.count(), BLOCK_ROWS, lambda ids, x: (ids, x), "queries")
+    trees, shards = packed(whole, whole.count(), shard_rows, BallTree, "trees")
+    blocks, count = packed(asked, asked.count(), block_rows, lambda ids, x: (ids, x), "queries")
     trees = trees.select(
         "dim", F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias("block"), F.col("part").alias("shard"), F.col("content").alias("tree")
     )
