@@ -13,11 +13,6 @@ HIGHEST_BAND = "enterprise"
 HIGH_VALUE_ABOVE = 500
 MISMATCH_TOLERANCE = 0.01
 
-METRIC_COLUMNS = [
-    "revenue", "discount_amount", "discount_rate", "avg_unit_price",
-    "is_high_value", "order_size_bucket", "revenue_band",
-]
-
 
 def line_total() -> Column:
     return F.round(F.col("quantity") * F.col("unit_price"), 2)
@@ -52,8 +47,25 @@ def revenue_band() -> Column:
     )
 
 
+def is_high_value() -> Column:
+    return F.col("total_amount") > HIGH_VALUE_ABOVE
+
+
 def _first_match(cases: list[tuple[Column, str]], otherwise: str) -> Column:
     chain = F
     for condition, label in cases:
         chain = chain.when(condition, label)
     return chain.otherwise(otherwise)
+
+
+# Those after the first may use it.
+METRICS = {
+    "revenue": line_total,
+    "discount_amount": discount_amount,
+    "discount_rate": discount_rate,
+    "avg_unit_price": average_unit_price,
+    "is_high_value": is_high_value,
+    "order_size_bucket": order_size,
+    "revenue_band": revenue_band,
+}
+METRIC_COLUMNS = list(METRICS)

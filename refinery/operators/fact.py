@@ -42,17 +42,9 @@ def with_date_key_lookup(rows: DataFrame, calendar: DataFrame) -> DataFrame:
 
 
 def with_metrics(rows: DataFrame) -> DataFrame:
-    priced = rows.withColumn("revenue", metrics.line_total())
-    return priced.withColumns(
-        {
-            "discount_amount": metrics.discount_amount(),
-            "discount_rate": metrics.discount_rate(),
-            "avg_unit_price": metrics.average_unit_price(),
-            "is_high_value": F.col("total_amount") > metrics.HIGH_VALUE_ABOVE,
-            "order_size_bucket": metrics.order_size(),
-            "revenue_band": metrics.revenue_band(),
-        }
-    )
+    first, *others = metrics.METRICS.items()
+    priced = rows.withColumn(first[0], first[1]())
+    return priced.withColumns({name: metric() for name, metric in others})
 
 
 def build_fact(
