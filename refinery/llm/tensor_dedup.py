@@ -11,8 +11,8 @@ collections, which texts of similarity 0.85 fail to do once in 30,000 pairs, and
    set and the sub-keys. Equal sets go on as one.
 2. Sub-keys that only one text has can't be part of a shared table key and are left out; the
    others are paired.
-3. In each table, texts are tied to the smallest id of their bucket, not to one another.
-   What hangs together through such ties is a cluster of candidates.
+3. In each table, texts are tied through the smallest id of their bucket, not to one
+   another. What hangs together through such ties is a cluster of candidates.
 4. In a cluster every text is compared with every other on full sets of shingles, inside
    tasks: clusters are cut into blocks of texts, and each pair of blocks is one piece of
    work, which yields at most one link for each of its texts: enough for the components.
@@ -33,7 +33,7 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from refinery.llm.components import components
@@ -42,6 +42,7 @@ from refinery.session import materialize
 SUBKEYS, JOINED = 16, 4
 BLOCK = 384  # texts of a cluster that are compared with as many others at a time
 PACK = 512  # texts of small clusters that share a piece of work, about
+WEIGHT = 1 << 21  # shingles in a block or pack, about: long texts make for fewer of them
 COLUMNS = 2048  # shingles that are compared at a time
 
 _MIX = [np.uint64(x) for x in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)]
@@ -105,7 +106,12 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
 
 
 def candidate_ties(texts: DataFrame) -> DataFrame:
-    """Ties (a, b) of texts (node, keys) to the smallest node of each bucket they are in."""
+    """Ties (a, b) that hold together the texts (node, keys) of every bucket.
+
+    A text belongs to the smallest node of each of its buckets, its heads. It is tied to
+    the first of its heads alone, and that one to its other heads: texts alike have the
+    same heads, so there are few different ties.
+    """
     flat = materialize(texts.select("node", F.explode("keys").alias("key")), "subkeys")
     shared = flat.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
     shared = materialize(shared, "shared-subkeys")
@@ -119,7 +125,10 @@ def candidate_ties(texts: DataFrame) -> DataFrame:
     tables = paired.select("node", F.explode(F.transform("others", lambda other: F.xxhash64("first", other))).alias("table"))
     tables = materialize(tables, "tables")
     heads = tables.groupBy("table").agg(F.min("node").alias("a"), F.max("node").alias("last")).filter("a < last")
-    return tables.join(heads.select("table", "a"), "table").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
+    belongs = tables.join(heads.select("table", "a"), "table").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
+    first = F.min("a").over(Window.partitionBy("b"))  # of 256 rows at most
+    belongs = materialize(belongs.withColumn("first", first), "heads")
+    return belongs.select("first", "b").union(belongs.filter("first <> a").select("first", "a")).toDF("a", "b").distinct()
 
 
 def linked(sets: list[np.ndarray], nodes: np.ndarray, percent: int) -> list[tuple[int, int]]:
@@ -156,16 +165,17 @@ def linked(sets: list[np.ndarray], nodes: np.ndarray, percent: int) -> list[tupl
 
 
 def verified_links(docs: DataFrame, clusters: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links (a, b) that hold the components of ``clusters`` (node, cluster) on full sets.
+    """Links (a, b) that hold the components of ``clusters`` (node, n_shingles, cluster) on
+    full sets.
 
-    A cluster of at most ``BLOCK`` texts is compared at once, with others of its like in one
-    piece of work. A larger one is cut into blocks by a hash, and each pair of blocks is a
-    piece of work of its own.
+    A cluster of at most ``BLOCK`` texts and ``WEIGHT`` shingles is compared at once, with
+    others of its like in one piece of work. A larger one is cut into blocks by a hash, and
+    each pair of blocks is a piece of work of its own.
     """
-    sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
-    total = clusters.count()
-    packs = max(1, -(-total // PACK))
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), F.sum("n_shingles").alias("weight"))
+    total = clusters.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("n_shingles"), F.lit(0)).alias("weight")).first()
+    packs = max(1, -(-total["n"] // PACK), -(-total["weight"] // WEIGHT))
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("weight") / WEIGHT)).cast("int")
     work = clusters.join(sizes, "cluster").select(
         "node",
         "cluster",
@@ -204,9 +214,11 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     """
     drawn = materialize(sketches(docs, words), "sketches")
     sets = drawn.filter("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest")
-    sets = materialize(sets.agg(F.min("doc_id").alias("node"), F.first("keys").alias("keys")), "sets")
+    sets = sets.agg(F.min("doc_id").alias("node"), F.first("keys").alias("keys"), F.first("n_shingles").alias("n_shingles"))
+    sets = materialize(sets, "sets")
     ties = materialize(candidate_ties(sets.select("node", "keys")), "ties")
-    clusters = materialize(components(ties).select("node", F.col("component").alias("cluster")), "clusters")
+    clusters = components(ties).select("node", F.col("component").alias("cluster"))
+    clusters = materialize(clusters.join(sets.groupBy("node").agg(F.max("n_shingles").alias("n_shingles")), "node"), "clusters")
     links = verified_links(docs, clusters, words, percent)
     # Rows of one id and several sets are one document.
     alike = drawn.filter("digest IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "digest").join(sets.select("digest", "node"), "digest")
