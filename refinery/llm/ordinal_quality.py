@@ -31,7 +31,7 @@ from refinery.llm.samples import labelled_texts
 
 BITS = 18
 #: Labelled rows that the model is fitted on, at most.
-FIT_ROWS = 10_000
+FIT_ROWS = 6_000
 TOKEN = re.compile(r"[^\W\d_]+|[^\w\s]+|\d+")
 
 
