@@ -35,6 +35,25 @@ class Memo(dict):
         return found
 
 
+class AgingMemo(Memo):
+    """A memo that keeps the generation before the present one: when full, what was met since
+    the last time stays at hand, and only what was not met in two generations is forgotten."""
+
+    def __init__(self, work: Callable, entries: int = MEMO_ENTRIES // 2):
+        super().__init__(work, entries)
+        self.older: dict = {}
+
+    def __missing__(self, word):
+        found = self.older.get(word)
+        if found is None:
+            found = self.work(word)
+        if len(self) >= self.entries:
+            self.older = self.copy()
+            self.clear()
+        self[word] = found
+        return found
+
+
 def reach_package(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver did.
 

@@ -19,23 +19,29 @@ table gives an empty store.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
+from struct import pack as pack_ids
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from refinery.llm.common import Memo, shared_bytes, shuffle_partitions, tokenizer_file
-from refinery.session import scratch_path
+from refinery.llm.common import AgingMemo, shared_bytes, shuffle_partitions, tokenizer_file
+from refinery.llm.rank_bpe import byte_letters
+from refinery.session import materialize, scratch_path
 
 MAGIC = b"DACIDS01"
 BLOCK = 512  # entries for each count in a rank directory
 SEGMENT_TOKENS = 1 << 20
-SEGMENT_SCHEMA = "task int, segment int, n_docs long, n_tokens long, payload binary"
+SEGMENT_SCHEMA = "task int, segment int, before long, n_docs long, n_tokens long, payload binary"
+# Fixed value: how byte-level files split texts before merging.
+PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _ONES = np.array([bin(x).count("1") for x in range(256)], dtype=np.int64)
 
 
@@ -133,24 +139,42 @@ class ByteEncoder:
 
     The library splits a text before each space that stands between two characters which
     aren't white space, whatever lies around them. So it is asked for the ids of each
-    different word only, and those of words met lately are kept.
+    different word only, and those of words met lately are kept. Words without the string of
+    an added token go straight to the library's merging model.
     """
 
     def __init__(self, content: bytes):
         from tokenizers import Tokenizer
 
+        spec = json.loads(content)
+        split = spec["pre_tokenizer"] or {}
+        plain = spec["normalizer"] is None and split.get("type") == "ByteLevel" and split.get("use_regex")
         self.library = Tokenizer.from_str(content.decode())
         self.library.no_truncation()
         self.library.no_padding()
-        self.follower = Memo(self.after_space)
-        self.alone = Memo(self.ask)
+        self.model = self.library.model if plain and not split.get("add_prefix_space") else None
+        self.added = [x["content"] for x in spec["added_tokens"]]
+        self.letters = dict(enumerate(byte_letters()))
+        self.follower = AgingMemo(self.after_space, 300_000)
+        self.piece = AgingMemo(self.merge, 100_000)
+        self.alone = AgingMemo(self.ask, 20_000)
 
     def ask(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        if self.model is None or any(x in text for x in self.added):
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return b"".join(map(self.piece.__getitem__, PIECES.findall(text)))
+
+    def merge(self, piece: str) -> bytes:
+        tokens = self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))
+        return pack_ids("<%dI" % len(tokens), *[x.id for x in tokens])
 
     def after_space(self, word: str) -> bytes:
         if not word or word[0].isspace() or word[-1].isspace():
             raise _Adjacent
+        if self.model is not None and word.isalpha():  # one piece, as is what follows
+            return self.piece[" " + word]
+        if self.model is not None and word[-1] in ".,;:!?" and word[:-1].isalpha():
+            return self.piece[" " + word[:-1]] + self.piece[word[-1]]
         return self.ask(" " + word)
 
     def __call__(self, text: str | None) -> bytes:
@@ -194,7 +218,7 @@ def write_store(
         content = shared.value
         encode = _loaded.get(hash(content)) or _loaded.setdefault(hash(content), ByteEncoder(content))
         task, number = TaskContext.get().partitionId(), 0
-        held, names, lengths, size = [], [], [], 0
+        held, names, lengths, size, before = [], [], [], 0, 0
         for batch in batches:
             for known, name, content_text in zip(batch["known"], batch["doc_id"], batch["text"]):
                 ids = encode(content_text) + end
@@ -203,15 +227,16 @@ def write_store(
                 lengths.append(len(ids) // 4)
                 size += lengths[-1]
                 if size >= segment_tokens:
-                    yield one(task, number, held, names, lengths, size)
-                    held, names, lengths, size, number = [], [], [], 0, number + 1
+                    yield one(task, number, before, held, names, lengths, size)
+                    before, number = before + size, number + 1
+                    held, names, lengths, size = [], [], [], 0
         if held:
-            yield one(task, number, held, names, lengths, size)
+            yield one(task, number, before, held, names, lengths, size)
 
-    def one(task, number, held, names, lengths, size) -> pd.DataFrame:
+    def one(task, number, before, held, names, lengths, size) -> pd.DataFrame:
         ids = np.frombuffer(b"".join(held), dtype="<u4")
-        row = (task, number, len(names), size, pack(ids, names, lengths))
-        return pd.DataFrame([row], columns=["task", "segment", "n_docs", "n_tokens", "payload"])
+        row = (task, number, before, len(names), size, pack(ids, names, lengths))
+        return pd.DataFrame([row], columns=["task", "segment", "before", "n_docs", "n_tokens", "payload"])
 
     named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
@@ -223,17 +248,15 @@ def write_store(
 def read_store(spark: SparkSession, path: str) -> DataFrame:
     """The stored segments with ``base``, the number of ids before each.
 
-    Sums run within tasks first, so that what is summed in one place is a row per task.
+    A segment says how many ids its task wrote before it, so that only a row per writing task
+    is summed and joined: no more rows than the store was written with tasks.
     """
     stored = spark.read.schema(SEGMENT_SCHEMA).parquet(path)
-    sizes = stored.select("task", "segment", "n_tokens")
-    own = Window.partitionBy("task").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
-    tasks = sizes.groupBy("task").agg(F.sum("n_tokens").alias("all"))
-    before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    tasks = tasks.select("task", F.coalesce(F.sum("all").over(before), F.lit(0)).alias("earlier"))
-    base = sizes.withColumn("inside", F.coalesce(F.sum("n_tokens").over(own), F.lit(0))).join(tasks, "task")
-    base = base.select("task", "segment", (F.col("inside") + F.col("earlier")).alias("base"))
-    return stored.join(base, ["task", "segment"])
+    tasks = stored.groupBy(F.col("task").alias("of")).agg(F.sum("n_tokens").alias("all"))
+    earlier = Window.orderBy("of").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = materialize(tasks.select("of", F.coalesce(F.sum("all").over(earlier), F.lit(0)).alias("earlier")), "task-bases")
+    joined = stored.join(F.broadcast(tasks), F.col("task") == F.col("of"))
+    return joined.select("task", "segment", "payload", (F.col("before") + F.col("earlier")).alias("base"))
 
 
 def store_report(spark: SparkSession, path: str) -> DataFrame:
