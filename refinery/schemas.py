@@ -47,6 +47,11 @@ CLEAN = _table(
     order_year=INT, order_month=INT, processed_at=TIMESTAMP,
 )
 
+# Records with too few or too many fields; those kept are in the clean table's input too.
+BROKEN_RECORDS = _table(
+    order_id=STRING, record=STRING, kept=BOOLEAN, processed_at=TIMESTAMP,
+)
+
 DIM_CUSTOMER = _table(
     required=["customer_sk"],
     customer_sk=LONG, customer_id=STRING, customer_name=STRING, region=STRING,

@@ -141,6 +141,27 @@ def test_batch_reports_and_incremental_mode(spark, tmp_path):
     assert rows_of(later.select("order_id", "status")) == [("A", "s"), ("B", "back"), ("C", "s")]
 
 
+def test_records_with_keys_stay_whatever_their_number_of_fields(spark, tmp_path):
+    raw, clean = tmp_path / "raw", f"{tmp_path}/clean"
+    raw.mkdir()
+    whole, short, lost = "A,K1,Ann,P1,Pen,T,1,1,1,2024-01-01,n,s,extra", "B,K1,Bo,P1", "C,K1"
+    (raw / "a.csv").write_text("\n".join([HEAD.strip() + ",more", whole, short, lost, ""]))
+    found = pipeline.clean_layer(spark, str(raw), clean, AT)
+    assert rows_of(found.select("order_id", "product_name", "quantity")) == rows_of(
+        refine(raw_frame(spark, {"order_id": "A", "product_name": "Pen", "quantity": "1", "product_id": "P1"}), AT)
+        .select("order_id", "product_name", "quantity")
+    ) + rows_of(
+        refine(read_csv(spark, str(raw)).filter("order_id = 'B'"), AT).select("order_id", "product_name", "quantity")
+    )
+    aside = spark.read.parquet(pipeline.broken_path(clean))
+    assert rows_of(aside.select("record", "kept")) == [(whole, True), (short, True), (lost, False)]
+    steps = pipeline.raw_report(spark, str(raw))["steps"].first()
+    assert (steps["records_read"], steps["raw_rows"], steps["clean_rows"]) == (3, 2, 2)
+    assert (steps["broken_records_left_out"], steps["broken_records_kept"]) == (1, 2)
+    pipeline.clean_layer(spark, str(raw), clean, AT + timedelta(days=1), incremental=True)
+    assert spark.read.parquet(pipeline.broken_path(clean)).count() == 6
+
+
 def test_scratch_is_gone_when_a_batch_ends(spark, tmp_path):
     table = f"{tmp_path}/c"
     rows = refine(raw_frame(spark, {"order_id": "A"}, {"order_id": "B"}), AT)
