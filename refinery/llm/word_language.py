@@ -16,12 +16,16 @@ from __future__ import annotations
 import math
 import re
 import uuid
+import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refinery.llm.common import MEMO_ENTRIES, fold
@@ -33,9 +37,12 @@ LONGEST_GRAM = 4
 #: Documents of each language that are learned from, about; they are whole, and taken by the
 #: hash of their id.
 DOCS_PER_LANGUAGE = 10_000
-#: Words, and n-grams of each length, that are kept over all languages.
-VOCABULARY = 200_000
-MAX_LANGUAGES = 256
+#: Numbers for each count that a table of all languages may have.
+DENSE = 8
+#: Numbers a worker keeps of the words met lately: one for each word and language.
+MEMO_NUMBERS = 8_000_000
+
+COUNTED = pa.schema([("lang", pa.string()), ("key", pa.large_string()), ("size", pa.int32()), ("n", pa.int64())])
 
 
 def grams(word: str, size: int) -> list[str]:
@@ -43,24 +50,97 @@ def grams(word: str, size: int) -> list[str]:
     return [marked[i : i + size] for i in range(len(marked) - size + 1)]
 
 
+class Keys:
+    """Places of strings in the order of their checksums, in a few arrays: a dict takes many
+    times the memory, and every worker holds one."""
+
+    def __init__(self, keys: pa.LargeStringArray):
+        content, ends = bytes(keys.buffers()[2] or b""), np.frombuffer(keys.buffers()[1] or bytes(8), dtype=np.int64)
+        ends = ends[keys.offset : keys.offset + len(keys) + 1]
+        parts = [content[i:j] for i, j in zip(ends[:-1].tolist(), ends[1:].tolist())]
+        sums = np.fromiter(map(zlib.crc32, parts), dtype=np.uint32, count=len(parts))
+        #: Where the keys given stand in the order of places.
+        self.order = np.argsort(sums, kind="stable")
+        sums = sums[self.order]
+        # Plain arrays: single entries of theirs are read faster than those of numpy's.
+        self.sums = array("I", sums.tobytes())
+        self.content = b"".join([parts[i] for i in self.order])
+        self.starts = array("Q", np.concatenate([[0], np.cumsum(np.diff(ends)[self.order])]).astype(np.uint64).tobytes())
+        bits = min(32, len(parts).bit_length())
+        self.shift = 32 - bits
+        #: The first place for each value of the leading bits.
+        self.first = array("Q", np.searchsorted(sums, np.arange(1 << bits, dtype=np.uint64) << np.uint64(self.shift)).astype(np.uint64).tobytes())
+
+    def __len__(self) -> int:
+        return len(self.sums)
+
+    def get(self, key: str) -> int | None:
+        content = key.encode()
+        wanted = zlib.crc32(content)
+        at, sums = self.first[wanted >> self.shift], self.sums
+        while at < len(sums) and sums[at] <= wanted:
+            if sums[at] == wanted and self.content[self.starts[at] : self.starts[at + 1]] == content:
+                return at
+            at += 1
+        return None
+
+    def __getitem__(self, key: str) -> int:
+        found = self.get(key)
+        if found is None:
+            raise KeyError(key)
+        return found
+
+
+class Logs:
+    """Log frequencies in every language, from the counts there are: a row for each place.
+    Rows of many languages are made when they are asked for, as most of their counts are 0."""
+
+    def __init__(self, places: np.ndarray, languages: np.ndarray, counts: np.ndarray, keys: int, width: int):
+        order = np.argsort(places, kind="stable")
+        self.starts = np.concatenate([[0], np.cumsum(np.bincount(places, minlength=keys))])
+        self.languages = languages[order].astype(np.min_scalar_type(width))
+        self.counts = counts[order].astype(np.min_scalar_type(max(counts, default=0)))
+        self.all = np.bincount(languages, counts, minlength=width) + 0.5 * keys + 1
+        self.unseen = np.log(0.5 / self.all)
+        self.rows = None
+        if keys * width <= DENSE * len(counts):
+            seen = np.zeros((keys, width))
+            seen[places, languages] = counts
+            self.rows = np.log((seen + 0.5) / self.all)
+            self.starts = self.languages = self.counts = None
+
+    def __getitem__(self, place: int | list[int]) -> np.ndarray:
+        if self.rows is not None:
+            return self.rows[place]
+        if isinstance(place, list):
+            return np.array([self[x] for x in place])
+        part = slice(self.starts[place], self.starts[place + 1])
+        at, row = self.languages[part], self.unseen.copy()
+        row[at] = np.log((self.counts[part] + 0.5) / self.all[at])
+        return row
+
+
 class LanguageModel:
-    """Log frequencies of words and n-grams, by language."""
+    """Log frequencies of words and n-grams, by language; all that were counted are kept."""
 
-    def __init__(self, counts: list[tuple[str, str, int, int]]):
+    def __init__(self, counts: pa.Table | list[tuple[str, str, int, int]]):
         """``counts``: language, word or n-gram, its length (0 for words), occurrences."""
-        self.languages = sorted({x[0] for x in counts})
-        at = {x: i for i, x in enumerate(self.languages)}
-        self.tables: list[dict[str, int]] = [{} for _ in range(LONGEST_GRAM + 1)]
-        self.logs: list[np.ndarray] = []
+        if not isinstance(counts, pa.Table):
+            counts = pa.table([pa.array([x[i] for x in counts], kind) for i, kind in enumerate(COUNTED.types)], schema=COUNTED)
+        counts = counts.cast(COUNTED)
+        self.languages = sorted(pc.unique(counts["lang"]).to_pylist())
+        self.tables: list[Keys] = []
+        self.logs: list[Logs] = []
         for size in range(LONGEST_GRAM + 1):
-            own = [x for x in counts if x[2] == size]
-            place = self.tables[size]
-            for _, key, _, _ in own:
-                place.setdefault(key, len(place))
-            seen = np.zeros((len(place), len(self.languages)))
-            for language, key, _, n in own:
-                seen[place[key], at[language]] = n
-            self.logs.append(np.log((seen + 0.5) / (seen.sum(axis=0) + 0.5 * len(place) + 1)))
+            own = counts.filter(pc.equal(counts["size"], size))
+            coded = pa.chunked_array(own["key"].chunks, pa.large_string()).combine_chunks().dictionary_encode()
+            keys = Keys(coded.dictionary)
+            places = np.empty(len(keys), dtype=np.int64)
+            places[keys.order] = np.arange(len(keys))
+            del keys.order
+            at = pc.index_in(own["lang"], pa.array(self.languages, pa.string())).to_numpy()
+            self.tables.append(keys)
+            self.logs.append(Logs(places[coded.indices.to_numpy()], at, own["n"].to_numpy(), len(keys), len(self.languages)))
 
     def word(self, word: str) -> np.ndarray:
         found = self.tables[0].get(word)
@@ -77,7 +157,8 @@ class LanguageScorer:
     """A model with the scores of words met lately, as rows of one array."""
 
     def __init__(self, model: LanguageModel, entries: int = MEMO_ENTRIES):
-        self.model, self.entries = model, entries
+        self.model = model
+        self.entries = min(entries, max(1, MEMO_NUMBERS // max(1, len(model.languages))))
         self.rows = np.zeros((1024, max(1, len(model.languages))))
         self.place = _Places(self)
 
@@ -108,17 +189,15 @@ class _Places(dict):
         return at
 
 
-def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = DOCS_PER_LANGUAGE, vocabulary: int = VOCABULARY) -> LanguageModel:
+def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = DOCS_PER_LANGUAGE) -> LanguageModel:
     """A model of the rows of ``docs`` that have a text and a language.
 
-    Words are counted in each task and then by language; of those, and of their n-grams,
-    the most frequent of each language come to the driver.
+    Words are counted in each task and then by language; those and their n-grams come to the
+    driver, all of them: the sample of documents is what bounds them.
     """
     rows = docs.select(F.col(doc_id).cast("string").alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     rows = rows.filter("lang IS NOT NULL AND text IS NOT NULL")
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages to learn")
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not sizes:
         return LanguageModel([])
     steps = 1 << 20
@@ -153,10 +232,7 @@ def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     parted = found.mapInPandas(pieces, "lang string, key string, size int, n long")
     parted = parted.groupBy("lang", "key", "size").agg(F.sum("n").alias("n"))
     both = found.withColumn("size", F.lit(0)).unionByName(parted)
-    most = Window.partitionBy("lang", "size").orderBy(F.desc("n"), "key")
-    keep = max(1, vocabulary // len(sizes))
-    top = both.withColumn("at", F.row_number().over(most)).filter(F.col("at") <= keep)
-    return LanguageModel([tuple(r) for r in top.select("lang", "key", "size", "n").collect()])
+    return LanguageModel(both.select("lang", "key", "size", "n").toArrow())
 
 
 _scorers: dict[str, LanguageScorer] = {}

@@ -62,6 +62,26 @@ def test_language_of_awkward_rows(spark):
     assert {(r["lang_pred"], r["score"]) for r in nothing} == {("und", 0.0)}
 
 
+def test_every_word_of_the_sample_is_kept(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = [a + b + c + d for a in letters[:6] for b in letters for c in letters for d in letters]
+    rows = [(1, " ".join(words), "en"), (2, f"der die das {words[-1]}", "de")]
+    model = word_language.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    places = {model.tables[0][w] for w in words}
+    assert len(places) == len(words) == 105_456 and len(model.tables[0]) == len(words) + 3
+    # English counted it once, so it is not smoothed there as a word never seen.
+    assert np.allclose(np.exp(model.word(words[-1])), [1.5 / (4 + 0.5 * 105_459 + 1), 1.5 / (105_456 + 0.5 * 105_459 + 1)])
+
+
+def test_more_languages_than_fit_a_byte(spark):
+    rows = [(i, f"word{i}x same".replace(str(i), "".join(chr(97 + int(c)) for c in str(i))), f"l{i:03}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = word_language.learn(docs)
+    assert len(model.languages) == 300 and len(model.tables[0]) == 301
+    found = word_language.language_column(docs, model).select("lang", "language.lang_pred").collect()
+    assert len(found) == 300 and all(r["lang"] == r["lang_pred"] for r in found)
+
+
 def test_scorer_forgets_and_stays_right():
     model = word_language.LanguageModel([("en", "the", 0, 9), ("de", "der", 0, 9), ("en", "a", 1, 9), ("de", "b", 1, 9)])
     small, large = word_language.LanguageScorer(model, entries=2), word_language.LanguageScorer(model)
