@@ -27,7 +27,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.common import Memo, fold
+from refinery.llm.common import MEMO_ENTRIES, Memo, fold
 from refinery.llm.samples import MAX_LABELLED, labelled_texts
 from refinery.session import materialize
 
@@ -60,12 +60,17 @@ def entries(word: str) -> list[str]:
     return [word, *(f"{word[:n]}-" for n in STEMS if len(word) >= n)]
 
 
+#: Characters of a token that is kept with what was found in it.
+LONG = 40
+
+
 class ToxicFeatures:
     """The dense features of a text under a lexicon of entries and their log odds."""
 
     def __init__(self, lexicon: dict[str, float]):
         self.lexicon = lexicon
         self.weight = Memo(self.weigh)
+        self.disguise = Memo(self.disguised, MEMO_ENTRIES // 2)
 
     def weigh(self, word: str) -> float:
         return max((self.lexicon.get(x, 0.0) for x in entries(word)), default=0.0)
@@ -95,7 +100,7 @@ class ToxicFeatures:
             padded = np.array([-math.inf, *yours, math.inf])
             at = np.array(hits)
             near = int(((at - padded[gap] <= NEAR) | (padded[gap + 1] - at <= NEAR)).sum())
-        hidden = self.hidden(text) if inner.any() or triple.any() else 0
+        hidden = self.hidden(text)
         return [
             100 * len(hits) / count,
             100 * whole / count,
@@ -118,15 +123,17 @@ class ToxicFeatures:
 
     def hidden(self, text: str) -> int:
         """Tokens that match the lexicon only after look-alike signs and repeats are undone."""
-        found = 0
-        for token in text.lower().split():
-            token = token.strip(".,;:?!\"'()")
-            if token.isalpha() and not re.search(r"(.)\1\1", token):
-                continue
-            plain = re.sub(r"(.)\1{2,}", r"\1", token.translate(LOOKALIKE))
-            plain = "".join(c for c in plain if c.isalpha())
-            found += bool(plain and self.weight[plain] and not any(self.weight[w] for w in WORD.findall(token)))
-        return found
+        tokens = text.lower().split()
+        # Long ones are not kept: the memo is bounded in entries, not in characters.
+        return sum(self.disguise[x] if len(x) <= LONG else self.disguised(x) for x in tokens)
+
+    def disguised(self, token: str) -> bool:
+        token = token.strip(".,;:?!\"'()")
+        if token.isalpha() and not re.search(r"(.)\1\1", token):
+            return False
+        plain = re.sub(r"(.)\1{2,}", r"\1", token.translate(LOOKALIKE))
+        plain = "".join(c for c in plain if c.isalpha())
+        return bool(plain and self.weight[plain] and not any(self.weight[w] for w in WORD.findall(token)))
 
 
 def learn_lexicon(sample: DataFrame, size: int = LEXICON) -> dict[str, float]:

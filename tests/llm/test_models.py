@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
@@ -108,6 +109,13 @@ def test_toxic_features():
     assert len(features("x")) == len(features("!!")) == len(features("你好 " * 3)) == boosted_toxicity.FEATURES
 
 
+def test_disguises_count_whatever_stands_around_them():
+    features = boosted_toxicity.ToxicFeatures({"idiot": 5.0, "moron": 4.0, "worthless": 3.0, "scum": 3.0})
+    for token in ("1diot", "worthle$$", "$cum", "m-o-r-o-n", "i.d.i.o.t", "id!ot", "1" + "d" * 60 + "iot"):
+        alone, beside = features(f"you {token} there"), features(f"you {token} there a_b")
+        assert alone[7] == beside[7] == math.log1p(1), token
+
+
 def test_toxicity_of_awkward_rows(spark):
     docs = messy(spark)
     toxic = labels_for(spark, [(i, 1, i % 2) for i in range(1, 12)] + [(2, 1, 1), (None, 1, 1), (4, 1, None), (999, 1, 1)])
