@@ -1,0 +1,125 @@
+from __future__ import annotations
+
+import gzip
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from refinery.llm import warc
+from refinery.llm.queries import ORACLES, QUERIES
+from tests.compare import difference, duckdb_over
+from tests.conftest import TABLES, rows_of
+
+HEAD = "\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\nabc"
+
+
+def test_archive_query(spark):
+    assert difference(QUERIES["op12_segmented_warc"](spark, TABLES), duckdb_over(TABLES), ORACLES["op12_segmented_warc"]) == ""
+
+
+def plain_report(pages, least=100):
+    """page_id, html -> the rows that are due, by looking at every pair."""
+    whole = {(i, (html or "").encode()) for i, html in pages}
+    rows = []
+    for i, payload in whole:
+        keepers = [j for j, other in whole if other == payload and j is not None]
+        keeper = min(keepers) if keepers else None
+        again = len(payload) >= least and i != keeper
+        rows.append((i, len(payload), hashlib.sha256(payload).hexdigest(), "revisit" if again else "response", keeper if again else None, True))
+    return sorted(rows, key=repr)
+
+
+AWKWARD = [
+    (1, "a" * 100), (2, "a" * 100), (3, "a" * 99), (4, "a" * 99), (5, None), (6, ""), (7, "x" * 100_000), (8, "x" * 100_000),
+    (9, HEAD * 900), (10, "\r\n" * 30_000), (11, "é日😀" * 9_000), (12, "WARC/1.1"), (13, "0\r\n\r\n" * 50), (14, "\x00\r\r\n\r\n"),
+    (2, "a" * 100), (15, "q" * 200), (15, "r" * 200), (None, "a" * 100), (None, "n" * 300), (None, "n" * 300), (16, "y" * 16_384),
+]
+
+
+def awkward(spark, rows=AWKWARD):
+    named = [(i, None if i == 4 else f"http://a.b/c d\r\n{i}", html, "x", 1, "y") for i, html in rows]
+    return spark.createDataFrame(named, "page_id long, url string, html string, digest string, payload int, record_id string")
+
+
+def test_awkward_pages_come_back_whole(spark):
+    assert rows_of(warc.roundtrip(awkward(spark).repartition(5))) == plain_report(AWKWARD)
+    assert warc.roundtrip(awkward(spark).limit(0)).count() == 0
+
+
+def test_long_records_lie_in_segments(spark, tmp_path):
+    path = f"{tmp_path}/archive"
+    warc.write_archives(awkward(spark).coalesce(1), path, segment_bytes=1000)
+    records = warc.read_records(spark, path)
+    assert records.agg(F.max(F.octet_length("block"))).first()[0] == 1000
+    assert records.filter("warc_type = 'continuation'").count() > 100
+    assert rows_of(warc.page_report(spark, path)) == plain_report(AWKWARD)
+    whole = b"".join(p.read_bytes() for p in sorted((tmp_path / "archive").glob("part-*")))
+    by_length = [head for head, _ in warc.parts_of(whole)]
+    assert len(by_length) == records.count()
+
+
+def test_many_tasks_read_one_file(spark, tmp_path, settings):
+    path = f"{tmp_path}/archive"
+    rows = [(i, f"<p>{i}</p>" * 400) for i in range(400)]
+    warc.write_archives(awkward(spark, rows).coalesce(1), path)
+    settings(spark__sql__files__maxPartitionBytes="65536", spark__sql__files__openCostInBytes="1")
+    assert rows_of(warc.page_report(spark, path)) == plain_report(rows)
+
+
+def one(kind, name, block, **fields):
+    more = "".join(f"{k.replace('_', '-')}: {v}\r\n" for k, v in fields.items())
+    return f"WARC/1.1\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <{name}>\r\n{more}content-length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
+
+
+def test_archives_from_elsewhere(spark, tmp_path):
+    """Heads of records inside payloads, segments out of order and in several files, copies
+    of segments, unframed payloads, compressed members; broken ones are told, not dropped."""
+    body = b"HTTP/1.1 200 OK\r\n\r\n" + HEAD.encode() * 3
+    parts = [body[i : i + 30] for i in range(0, len(body), 30)]
+    segment = lambda i, name, number, **more: one("continuation", f"{name}-{number}", parts[i], WARC_Segment_Origin_ID=f"<{name}>", WARC_Segment_Number=number, **more)
+    last = len(parts)
+    total = {"WARC_Segment_Total_Length": len(body)}
+    one_file = [segment(i, "cut", i + 1, **(total if i + 1 == last else {})) for i in range(last - 1, 0, -1)]
+    other = [
+        one("response", "cut", parts[0], WARC_Segment_Number=1),
+        one_file[0],
+        one("response", "whole", body, Page_ID=7),
+        one("response", "sized", b"HTTP/1.1 200 OK\r\nContent-Length: 5\r\n\r\nhello"),
+        one("response", "short", b"HTTP/1.1 200 OK\r\nContent-Length: 50\r\n\r\nhello"),
+        one("response", "frames", b"HTTP/1.1 200 OK\r\ntransfer-encoding: chunked\r\n\r\n3;x=y\r\nabc\r\n2\r\nde\r\n0\r\nT: v\r\n\r\n"),
+        one("response", "torn", b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n5\r\nabc\r\n"),
+        one("resource", "file", b"plain bytes"),
+        one("response", "gap", parts[0], WARC_Segment_Number=1),
+        segment(2, "gap", 3, **total),
+        one("response", "less", parts[0], WARC_Segment_Number=1),
+        segment(1, "less", 2, WARC_Segment_Total_Length=1),
+        one("response", "open", parts[0], WARC_Segment_Number=1),
+        one("revisit", "lost", b"", WARC_Refers_To="<nowhere>", Page_ID=9, WARC_Payload_Digest="sha256:AB"),
+    ]
+    (tmp_path / "a.warc").write_bytes(b"".join(one_file))
+    (tmp_path / "b.warc.gz").write_bytes(b"".join(map(gzip.compress, other)))
+    whole = warc.with_payload(warc.reassemble(warc.read_records(spark, str(tmp_path))))
+    found = {r["record_id"][1:-1]: (bytes(r["payload"]), r["complete"]) for r in whole.collect()}
+    assert found["cut"] == found["whole"] == (HEAD.encode() * 3, True)
+    assert found["sized"] == (b"hello", True) and found["short"] == (b"hello", False)
+    assert found["frames"] == (b"abcde", True) and not found["torn"][1]
+    assert found["file"] == (b"plain bytes", True)
+    assert not (found["gap"][1] or found["less"][1] or found["open"][1]) and len(found) == 11
+    report = {r["page_id"]: tuple(r)[1:] for r in warc.page_report(spark, str(tmp_path)).collect() if r["page_id"]}
+    assert report[7][0] == len(HEAD) * 3 and report[7][-1]
+    assert report[9] == (None, "ab", "revisit", None, False)
+
+
+def test_what_is_no_archive_fails(spark, tmp_path):
+    (tmp_path / "a").write_bytes(b"hello")
+    with pytest.raises(Exception, match="no record at byte 0"):
+        warc.read_records(spark, str(tmp_path)).collect()
+
+
+def test_frames_never_show_the_head_of_a_record():
+    for text in (b"WARC/1.1\r\n" * 9, b"\r\n\r\nWARC/1.1\r\nWARC/1.1", b"\r\nWARC/1.1\r\n" * 2, b""):
+        for size in (1, 3, 7, 64):
+            frames = warc.framed(text, size)
+            assert b"WARC/1.1" not in frames
+            assert warc.http_payload(b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n" + frames) == (text, True)
