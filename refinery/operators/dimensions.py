@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refinery.functions.dates import date_key
-from refinery.operators.keys import dense_key, dense_key_of_versions
+from refinery.operators.keys import dense_key, dense_key_of_versions, stable_key
 from refinery.schemas import DIM_CUSTOMER, DIM_DATE, DIM_PRODUCT, DIM_REGION
+from refinery.session import materialize
 
 # The zone of each region. Extend by passing another mapping.
 GEO_ZONES = {
@@ -46,28 +47,37 @@ def latest_version(versions: DataFrame, key: str, attributes: Sequence[str]) ->
     )
 
 
-def dim_customer(clean: DataFrame, all_versions: bool = False) -> DataFrame:
-    return _entity(clean, "customer_id", "customer_sk", all_versions, DIM_CUSTOMER.names)
+def dim_customer(
+    clean: DataFrame, all_versions: bool = False, registry: str | None = None
+) -> DataFrame:
+    return _entity(clean, "customer_id", "customer_sk", all_versions, DIM_CUSTOMER.names, registry)
 
 
-def dim_product(clean: DataFrame, all_versions: bool = False) -> DataFrame:
-    return _entity(clean, "product_id", "product_sk", all_versions, DIM_PRODUCT.names)
+def dim_product(
+    clean: DataFrame, all_versions: bool = False, registry: str | None = None
+) -> DataFrame:
+    return _entity(clean, "product_id", "product_sk", all_versions, DIM_PRODUCT.names, registry)
 
 
 def _entity(
-    clean: DataFrame, key: str, name: str, all_versions: bool, columns: list[str]
+    clean: DataFrame, key: str, name: str, all_versions: bool, columns: list[str], registry: str | None
 ) -> DataFrame:
     """One row per key, or with ``all_versions`` one per distinct set of attributes.
 
     In the second form a key with conflicting attributes occupies several rows under
-    one number, and joining on it multiplies the fact rows.
+    one number, and joining on it multiplies the fact rows. With a ``registry`` an id keeps
+    its number from run to run.
     """
     attributes = [c for c in columns if c not in (key, name)]
     if all_versions:
         distinct = clean.select(key, *attributes).distinct()
+        if registry:
+            return stable_key(distinct, key, name, registry).select(*columns)
         return dense_key_of_versions(distinct, key, name).select(*columns)
-    versions = attribute_versions(clean, key, attributes)
-    return dense_key(latest_version(versions, key, attributes), key, name).select(*columns)
+    rows = latest_version(attribute_versions(clean, key, attributes), key, attributes)
+    if registry:
+        return stable_key(materialize(rows, "latest"), key, name, registry).select(*columns)
+    return dense_key(rows, key, name).select(*columns)
 
 
 def distinct_regions(clean: DataFrame) -> DataFrame:
@@ -82,8 +92,14 @@ def geo_zone(region: Column | str, zones: Mapping[str, str] = GEO_ZONES) -> Colu
     return F.coalesce(F.element_at(lookup, region), F.lit(NO_ZONE))
 
 
-def dim_region(clean: DataFrame, zones: Mapping[str, str] = GEO_ZONES) -> DataFrame:
-    numbered = dense_key(distinct_regions(clean), "region_name", "region_sk")
+def dim_region(
+    clean: DataFrame, zones: Mapping[str, str] = GEO_ZONES, registry: str | None = None
+) -> DataFrame:
+    regions = distinct_regions(clean)
+    if registry:
+        numbered = stable_key(materialize(regions, "regions"), "region_name", "region_sk", registry)
+    else:
+        numbered = dense_key(regions, "region_name", "region_sk")
     return numbered.withColumns(
         {"region_code": F.upper("region_name"), "geo_zone": geo_zone(F.col("region_name"), zones)}
     ).select(*DIM_REGION.names)

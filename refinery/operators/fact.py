@@ -22,6 +22,13 @@ def with_customer_key(rows: DataFrame, customers: DataFrame) -> DataFrame:
     return rows.join(customers.select("customer_id", "customer_sk"), "customer_id", "left")
 
 
+def with_customer_key_in_place(rows: DataFrame, customers: DataFrame) -> DataFrame:
+    """The same lookup as a merge of tables that are bucketed alike by customer: neither
+    is moved, whatever its size (``publish_bucketed``)."""
+    lookup = customers.select("customer_id", "customer_sk").hint("merge")
+    return rows.join(lookup, "customer_id", "left")
+
+
 def with_product_key(rows: DataFrame, products: DataFrame) -> DataFrame:
     return rows.join(products.select("product_id", "product_sk"), "product_id", "left")
 
@@ -41,6 +48,18 @@ def with_date_key_lookup(rows: DataFrame, calendar: DataFrame) -> DataFrame:
     return rows.join(calendar.select("order_date", "date_sk"), "order_date", "left")
 
 
+def on_days(fact: DataFrame, calendar: DataFrame, *columns: str) -> DataFrame:
+    """The fact rows of the days in ``calendar``, a filtered date dimension, with ``columns``
+    of theirs.
+
+    The month columns of the fact are its partitions, so they are joined as well as the key:
+    the days that are left tell Spark, when the query runs, which partitions to read."""
+    days = calendar.select("date_sk", F.col("year").alias("_year"), F.col("month").alias("_month"), *columns)
+    same = (fact["order_year"] == F.col("_year")) & (fact["order_month"] == F.col("_month"))
+    same &= fact["date_sk"] == days["date_sk"]
+    return fact.join(days, same).select(*[fact[c] for c in fact.columns], *columns)
+
+
 def with_metrics(rows: DataFrame) -> DataFrame:
     first, *others = metrics.METRICS.items()
     priced = rows.withColumn(first[0], first[1]())

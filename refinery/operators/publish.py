@@ -1,4 +1,10 @@
-"""Publishing a table under its contract, and merging a batch into a published one."""
+"""Publishing a table under its contract, and merging a batch into a published one.
+
+``publish_version`` and ``upsert_version`` keep a table as numbered versions
+(``refinery.sources.versions``): for tables that are read while they change, or written by
+several. ``publish`` and ``upsert_table`` keep a plain folder, for consumers that know of no
+versions, and want a single writer and no reader meanwhile.
+"""
 
 from __future__ import annotations
 
@@ -10,17 +16,29 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from refinery.operators.checks import loses
+from refinery.operators.quarantine import ACCEPTED, REJECTED, REJECTS, judged
 from refinery.operators.cleaning import keep_one_per_key
-from refinery.schemas import BUSINESS_KEY, PARTITION_COLUMNS
+from refinery.operators.fingerprint import as_table, fingerprint, observed
+from refinery.schemas import BUSINESS_KEY, FINGERPRINT, PARTITION_COLUMNS
 from refinery.session import delete, file_system, materialize, temporary
+from refinery.sources import versions
 from refinery.sources.files import read_table, write_table
+from refinery.sources.versions import MAIN, Version
 
 # How Spark names the folder of a null partition value.
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
+#: The table of a version that holds its fingerprint, and of which columns that is.
+MARK = "fingerprint"
+MARKED = StructType([*FINGERPRINT.fields, StructField("columns", ArrayType(StringType()))])
+
+#: Different values of the first key up to which a probe names them to the reader, which
+#: then passes over row groups that hold none of them.
+NAMED_KEYS = 1_000
+
 
 def conform(df: DataFrame, contract: StructType, allow_undeclared: bool = False) -> DataFrame:
     """``df`` in the contract's columns, order and types, matched by name.
@@ -154,6 +172,21 @@ def publish_to_catalog(
     return spark.table(table).select(*contract.names)
 
 
+def publish_bucketed(
+    df: DataFrame, contract: StructType, table: str, bucket_by: str, buckets: int
+) -> DataFrame:
+    """As a table of the session's catalog, dealt to ``buckets`` by a hash of one column.
+
+    Two tables that are bucketed alike are joined on that column without moving either. Rows
+    are dealt out before they are written, so that a bucket is one sorted file, and an id
+    with very many rows is in one task: for such ids join plain tables, which Spark splits.
+    """
+    rows = conform(df, contract).repartition(buckets, bucket_by)
+    writer = rows.write.format("parquet").mode("overwrite").bucketBy(buckets, bucket_by)
+    writer.sortBy(bucket_by).saveAsTable(table)
+    return df.sparkSession.table(table).select(*contract.names)
+
+
 def newest_of(
     existing: DataFrame, batch: DataFrame, keys: Sequence[str], order_by: str | None
 ) -> DataFrame:
@@ -186,6 +219,28 @@ def upsert(
     return untouched.unionByName(newest).select(*existing.columns)
 
 
+def probe(
+    existing: DataFrame, batch: DataFrame, keys: Sequence[str], order_by: str | None, where: Column
+) -> tuple[DataFrame, list[str]]:
+    """The rows of ``batch`` (one per key) that ``existing`` has no later version of, and the
+    values of ``where`` among the rows that they replace.
+
+    One pass over the keys, times and folders of the table. The row groups that a small
+    batch cannot meet are not read.
+    """
+    first = keys[0]
+    values = _values(batch.select(first).distinct().limit(NAMED_KEYS + 1))
+    if len(values) <= NAMED_KEYS:
+        existing = existing.filter(F.col(first).isin(values))
+    later = F.lit(False) if order_by is None else F.col("_held") > F.col(order_by)
+    held = existing.select(*keys, *([] if order_by is None else [F.col(order_by).alias("_held")]), where.alias("_where"))
+    times = [] if order_by is None else [order_by]
+    met = batch.select(*keys, *times).join(held, list(keys))
+    met = materialize(met.select(*keys, "_where", F.coalesce(later, F.lit(False)).alias("_later")), "met")
+    newest = batch.join(met.filter("_later").select(*keys), list(keys), "left_anti").select(*batch.columns)
+    return newest, _values(met.filter("NOT _later").select("_where"))
+
+
 def upsert_table(
     spark: SparkSession,
     path: str,
@@ -204,12 +259,12 @@ def upsert_table(
     """
     with temporary(spark):
         existing = read_table(spark, path, contract)
-        newest = newest_of(existing, conform(batch, contract), keys, order_by)
+        batch = materialize(keep_one_per_key(conform(batch, contract), keys, latest_by=order_by), "batch")
+        newest, left = probe(existing, batch, keys, order_by, _folder(partition_by))
         newest = materialize(newest, "newest")
         folder = _folder(partition_by).alias("folder")
 
-        replaced = existing.join(newest.select(*keys), list(keys), "left_semi")
-        touched = _values(replaced.select(folder).unionByName(newest.select(folder)))
+        touched = sorted({*left, *_values(newest.select(folder))})
         affected = existing.filter(_folder(partition_by).isin(touched))
         untouched = affected.join(newest, list(keys), "left_anti")
         merged = untouched.unionByName(newest).select(*existing.columns)
@@ -223,6 +278,156 @@ def upsert_table(
     return read_table(spark, path, contract)
 
 
+def publish_version(
+    df: DataFrame,
+    contract: StructType,
+    path: str,
+    partition_by: Sequence[str] = (),
+    sort_by: Sequence[str] = (),
+    bloom_filter: Sequence[str] = (),
+    quarantine: bool = False,
+    also: Mapping[str, DataFrame] | None = None,
+    mark: Sequence[str] | bool = False,
+) -> DataFrame:
+    """Make ``df`` the next version of the table at ``path``; returns the stored table.
+
+    With ``quarantine`` rows that break the contract are stored beside the others in the same
+    job, with what is wrong with them, and ``read_rejects`` gives them; without it they fail
+    the job. ``also`` names further tables of the same version. ``mark`` (all columns, or those
+    named) takes the table's fingerprint in the writing job, for ``check_mark``.
+    """
+    spark = df.sparkSession
+    if quarantine and mark:
+        raise ValueError("the fingerprint of a split table would hold the rejects")
+
+    def make(folder: str) -> versions.Tables:
+        seen, watch = None, None
+        if mark:
+            columns = contract.names if mark is True else list(mark)
+
+            def watch(rows: DataFrame) -> DataFrame:
+                nonlocal seen
+                rows, seen = observed(rows, columns)
+                return rows
+
+        tables = write_part(
+            df, contract, path, folder, MAIN, partition_by, sort_by, bloom_filter, quarantine, watch
+        )
+        if mark:
+            found = as_table(spark, seen).withColumn("columns", F.array(*map(F.lit, columns)))
+            tables[MARK] = versions.appended(spark, path, versions.EMPTY, folder, found, MARK)
+        for name, rows in (also or {}).items():
+            tables[name] = versions.appended(spark, path, versions.EMPTY, folder, rows, name)
+        return tables
+
+    version = versions.replace(spark, path, make)
+    return versions.read_version(spark, path, contract, version=version)
+
+
+def write_part(
+    df: DataFrame,
+    contract: StructType,
+    path: str,
+    folder: str,
+    name: str,
+    partition_by: Sequence[str] = (),
+    sort_by: Sequence[str] = (),
+    bloom_filter: Sequence[str] = (),
+    quarantine: bool = False,
+    watch: Callable[[DataFrame], DataFrame] | None = None,
+) -> versions.Tables:
+    """Write ``df`` to a data folder of a versioned path; what the version says of table ``name``.
+
+    In quarantine accepted and rejected rows are two partitions of the one table that the job
+    writes, and two tables of the version."""
+    target = f"{folder}/{name}"
+    if not quarantine:
+        rows = conform(df, contract)
+        write_table(rows, f"{path}/{target}", partition_by, sort_by=sort_by, bloom_filter=bloom_filter, watch=watch)
+        return {name: {target: None}}
+    parts = ["verdict", *partition_by]
+    write_table(judged(df, contract), f"{path}/{target}", parts, sort_by=sort_by, bloom_filter=bloom_filter)
+    tables = {}
+    for table, verdict in ((name, ACCEPTED), (f"{name}.{REJECTED}", REJECTED)):
+        part = f"{target}/verdict={verdict}"
+        tables[table] = {part: None} if versions.exists(df.sparkSession, f"{path}/{part}") else {}
+    return tables
+
+
+def read_rejects(spark: SparkSession, path: str, table: str = MAIN) -> DataFrame:
+    """What the newest version at ``path`` has refused: problems, and the record as JSON."""
+    return versions.read_version(spark, path, REJECTS, f"{table}.{REJECTED}")
+
+
+def check_mark(spark: SparkSession, path: str, contract: StructType) -> DataFrame:
+    """One row: rows and digest of the newest version at ``path`` as it reads now, and whether
+    they are those taken when it was written (null if none were)."""
+    version = versions.current(spark, path) or versions.EMPTY
+    taken = versions.read_version(spark, path, MARKED, MARK, version).first()
+    rows = versions.read_version(spark, path, contract, version=version)
+    found = fingerprint(rows, taken["columns"] if taken else None)
+    same = F.lit(None).cast("boolean")
+    if taken:
+        same = (F.col("rows") == taken["rows"]) & (F.col("digest") == taken["digest"])
+    return found.withColumn("as_written", same)
+
+
+def upsert_version(
+    spark: SparkSession,
+    path: str,
+    contract: StructType,
+    batch: DataFrame,
+    keys: Sequence[str] = tuple(BUSINESS_KEY),
+    partition_by: Sequence[str] = tuple(PARTITION_COLUMNS),
+    order_by: str | None = "processed_at",
+    sort_by: Sequence[str] = (),
+    bloom_filter: Sequence[str] = (),
+    also: Mapping[str, DataFrame] | None = None,
+) -> DataFrame:
+    """As ``upsert_table``, as the next version of the table at ``path``.
+
+    The touched partitions are written to a new folder and the others stay where they are;
+    the new version names both. Should another writer be quicker, the batch is merged again
+    into what that one left. A plain folder is taken as the version before the first.
+    """
+
+    def make(base: Version, folder: str) -> versions.Tables:
+        base = base if base.number else _adopted(spark, path)
+        existing = versions.read_version(spark, path, contract, version=base)
+        newest, left = probe(existing, rows, keys, order_by, _folder(partition_by))
+        newest = materialize(newest, "newest")
+        held = {
+            k: versions.partitions_of(spark, f"{path}/{k}", len(partition_by)) if v is None else v
+            for k, v in base.folders().items()
+        }
+        touched = {*left, *_values(newest.select(_folder(partition_by)))}
+        for old in sorted(held, key=lambda k: len(held[k]))[: max(0, len(held) + 1 - versions.MAX_FOLDERS)]:
+            touched |= set(held[old])  # the smallest folders are written anew
+        affected = existing.filter(_folder(partition_by).isin(sorted(touched)))
+        untouched = affected.join(newest, list(keys), "left_anti")
+        merged = untouched.unionByName(newest).select(*existing.columns)
+        target = f"{folder}/{MAIN}"
+        write_table(conform(merged, contract), f"{path}/{target}", partition_by, sort_by=sort_by, bloom_filter=bloom_filter)
+        kept = {k: [p for p in v if p not in touched] for k, v in held.items()}
+        kept[target] = versions.partitions_of(spark, f"{path}/{target}", len(partition_by))
+        tables = {**base.tables, MAIN: {k: v for k, v in kept.items() if v}}
+        tables.pop(MARK, None)  # it was that of the whole table before
+        for name, more in (also or {}).items():
+            tables[name] = versions.appended(spark, path, base, folder, more, name)
+        return tables
+
+    if not partition_by:
+        raise ValueError("an upsert needs partitions, or it rewrites the whole table")
+    with temporary(spark):
+        rows = materialize(keep_one_per_key(conform(batch, contract), keys, latest_by=order_by), "batch")
+        version = versions.change(spark, path, make)
+    return versions.read_version(spark, path, contract, version=version)
+
+
+def _adopted(spark: SparkSession, path: str) -> Version:
+    return Version(0, {MAIN: {"": None}}) if versions.exists(spark, path) else versions.EMPTY
+
+
 def _folder(partition_by: Sequence[str]) -> Column:
     """The folder of a row's partition; a filter on it prunes partitions when planned."""
     parts = [

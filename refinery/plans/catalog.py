@@ -10,28 +10,32 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from refinery import schemas
 from refinery.functions import metrics, text
-from refinery.operators import checks, cleaning, dimensions, fact, publish
-from refinery.plans.pipeline import star_layer
+from refinery.operators import checks, cleaning, dimensions, fact, history, publish
+from refinery.plans.pipeline import star_layer, stored_counts
 from refinery.plans.refine import refine
 from refinery.plans.star import build_star
 from refinery.schemas import (
     AUDIT_COLUMNS,
     CLEAN,
+    DIM_CUSTOMER,
     DIM_DATE,
     DIM_REGION,
     FACT_SALES,
+    ORDER_LINE,
     PARTITION_COLUMNS,
     RAW,
 )
 from refinery.session import materialize, scratch_path
 from refinery.sources.derived_orders import raw_orders
 from refinery.sources.files import read_csv, read_table, write_csv
+from refinery.sources.ledger import LOADED, ingest
+from refinery.sources.versions import read_version
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +51,10 @@ VERSIONS = [
 ]
 
 
+# First and last days of two loads, of which the later one has new ids and lacks old ones.
+LOADS = [("1992-01-01", "1992-12-31"), ("1993-07-01", "1994-06-30")]
+
+
 def _refined(spark: SparkSession, folder: str, variant: str = "settled") -> DataFrame:
     return refine(raw_orders(spark, folder, variant), RUN_AT)
 
@@ -116,17 +124,61 @@ def publish_star(spark: SparkSession, folder: str) -> DataFrame:
     return _without_audit(star_layer(spark, clean, star, RUN_AT)["fact_sales"])
 
 
+def _database(spark: SparkSession) -> str:
+    """A new database of the catalog, in the shared folder."""
+    name = f"refinery_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, 'database')}'")
+    return name
+
+
 def publish_catalog(spark: SparkSession, folder: str) -> DataFrame:
     """A dimension in the session's catalog, replaced by a later one."""
-    database = f"refinery_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'database')}'")
+    database = _database(spark)
     regions = materialize(dim_region(spark, folder), "regions")
     publish.publish_to_catalog(regions.limit(1), DIM_REGION, f"{database}.dim_region")
     return publish.publish_to_catalog(regions, DIM_REGION, f"{database}.dim_region")
 
 
 def table_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return checks.table_counts(_star(spark, folder))
+    """Counts of a stored star schema, from the footers of its files."""
+    clean, star = scratch_path(spark, "clean-table"), scratch_path(spark, "star")
+    publish.publish(_refined(spark, folder), CLEAN, clean, PARTITION_COLUMNS)
+    star_layer(spark, clean, star, RUN_AT)
+    return stored_counts(spark, star)
+
+
+def quarantine_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw orders under a typed contract: every row, accepted or with what is wrong with it."""
+    path = scratch_path(spark, "order-lines")
+    rows = raw_orders(spark, folder).select(*ORDER_LINE.names)
+    accepted = publish.publish_version(rows, ORDER_LINE, path, quarantine=True)
+    rejects = publish.read_rejects(spark, path)
+    record = F.from_json("record", StructType([RAW[c] for c in ORDER_LINE.names]))
+    told = F.transform("problems", lambda p: F.concat_ws(":", p["column"], p["value"], p["reason"]))
+    refused = rejects.select(record.alias("row"), F.concat_ws("; ", told).alias("problems"))
+    return accepted.select(
+        "order_id", "customer_id", "product_id", F.col("quantity").cast("string").alias("quantity"),
+        F.lit("accepted").alias("verdict"), F.lit("").alias("problems"),
+    ).unionByName(refused.select("row.order_id", "row.customer_id", "row.product_id", "row.quantity", F.lit("rejected").alias("verdict"), "problems"))
+
+
+def scan_new_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Two drops of files into one folder, which is loaded after each and once more."""
+    source, path = scratch_path(spark, "drops"), scratch_path(spark, "loaded")
+    rows = materialize(raw_orders(spark, folder), "raw")
+    for drop in (_even(), ~_even()):
+        write_csv(rows.filter(drop), source, append=True)
+        ingest(spark, source, path, pattern="*.csv")
+    ingest(spark, source, path, pattern="*.csv")
+    return read_version(spark, path, LOADED)
+
+
+def table_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
+    """Of what a stored table reads as, beside whether that is what was written."""
+    path = scratch_path(spark, "marked")
+    columns = ["order_id", "customer_id", "product_id", "quantity", "order_date", "is_date_missing", "order_date_raw", "category"]
+    publish.publish_version(_refined(spark, folder), CLEAN, path, PARTITION_COLUMNS, mark=columns)
+    return publish.check_mark(spark, path, CLEAN)
 
 
 def publish_dim_date(spark: SparkSession, folder: str) -> DataFrame:
@@ -134,10 +186,22 @@ def publish_dim_date(spark: SparkSession, folder: str) -> DataFrame:
     return publish.publish(dim_date(spark, folder), DIM_DATE, path)
 
 
+def incremental_upsert_version(spark: SparkSession, folder: str) -> DataFrame:
+    """Two batches merged into a versioned table, each as its next version."""
+    path = scratch_path(spark, "clean-versions")
+    clean = publish.publish_version(_refined(spark, folder), CLEAN, path, PARTITION_COLUMNS, ["order_id"], ["order_id"])
+    versions = materialize(_versions(clean), "batch")
+    publish.upsert_version(spark, path, CLEAN, versions.filter(_even()))
+    return _without_audit(publish.upsert_version(spark, path, CLEAN, versions.filter(~_even())))
+
+
+def _even() -> Column:
+    return F.substring("order_id", -1, 1).isin("0", "2", "4", "6", "8")
+
+
 def _returned(clean: DataFrame) -> DataFrame:
     """A later batch: the orders with an even last digit come back as returned."""
-    even = F.substring("order_id", -1, 1).isin("0", "2", "4", "6", "8")
-    return clean.filter(even).withColumn("status", F.lit("returned"))
+    return clean.filter(_even()).withColumn("status", F.lit("returned"))
 
 
 def incremental_upsert(spark: SparkSession, folder: str) -> DataFrame:
@@ -262,6 +326,29 @@ def dim_customer_versions(spark: SparkSession, folder: str) -> DataFrame:
     return dimensions.dim_customer(_stored(spark, folder, "moved"), all_versions=True)
 
 
+def dim_customer_stable(spark: SparkSession, folder: str) -> DataFrame:
+    """The dimension of a second load with ids that the first lacked, and without some of
+    its ids; numbers are those of the first load where it had the id."""
+    clean, registry = _stored(spark, folder), scratch_path(spark, "keys")
+    loads = [clean.filter(F.col("order_date").between(*map(F.lit, days))) for days in LOADS]
+    for load in loads:
+        dimension = dimensions.dim_customer(load, registry=registry)
+    return dimension
+
+
+def customer_history(spark: SparkSession, folder: str) -> DataFrame:
+    return history.history(_refined(spark, folder, "moved"), "customer_id", ["customer_name", "region"])
+
+
+def fact_as_of(spark: SparkSession, folder: str) -> DataFrame:
+    """Every clean row with the attributes that its customer had on its day."""
+    clean = _stored(spark, folder, "moved")
+    intervals = materialize(history.history(clean, "customer_id", ["customer_name", "region"]), "history")
+    columns = ["version", "customer_name", "region"]
+    keyed = history.as_of(clean.drop("customer_name", "region"), intervals, "customer_id", columns)
+    return keyed.select("order_id", "product_id", "customer_id", "order_date", *columns)
+
+
 def dim_product(spark: SparkSession, folder: str) -> DataFrame:
     return dimensions.dim_product(_refined(spark, folder))
 
@@ -287,6 +374,24 @@ def join_customer_sk(spark: SparkSession, folder: str) -> DataFrame:
     return joined.select("order_id", "product_id", "customer_id", "customer_sk")
 
 
+def join_customer_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """The lookup between catalog tables that are bucketed alike: nothing is moved."""
+    clean, database = _stored(spark, folder), _database(spark)
+    customers = dimensions.dim_customer(clean)
+    rows = publish.publish_bucketed(clean, CLEAN, f"{database}.clean", "customer_id", 8)
+    customers = publish.publish_bucketed(customers, DIM_CUSTOMER, f"{database}.dim_customer", "customer_id", 8)
+    joined = fact.with_customer_key_in_place(rows, customers)
+    return joined.select("order_id", "product_id", "customer_id", "customer_sk")
+
+
+def quarter_by_calendar(spark: SparkSession, folder: str) -> DataFrame:
+    """Sales on the weekends of one quarter, chosen by the calendar alone."""
+    star, path = _star(spark, folder), scratch_path(spark, "fact")
+    sales = publish.publish(star["fact_sales"], FACT_SALES, path, PARTITION_COLUMNS)
+    days = materialize(star["dim_date"], "dim-date").filter("year = 1997 AND quarter = 2 AND is_weekend")
+    return _without_audit(fact.on_days(sales, days, "day_name"))
+
+
 def join_product_sk(spark: SparkSession, folder: str) -> DataFrame:
     clean = _stored(spark, folder)
     joined = fact.with_product_key(clean, dimensions.dim_product(clean))
@@ -394,5 +499,8 @@ QUERIES: dict[str, Query] = {
         join_date_sk, build_fact, fact_projection, fact_metrics, revenue_by_band,
         orders_by_month, first_24_months, check_null_keys, check_amount_mismatch,
         quality_summary, layer_counts, check_orphans, dim_key_conflicts, check_contract,
+        dim_customer_stable, quarantine_rejects, scan_new_files, incremental_upsert_version,
+        quarter_by_calendar, join_customer_bucketed, customer_history, fact_as_of,
+        table_fingerprint,
     ]
 } | {"refine": refined}

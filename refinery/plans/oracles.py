@@ -250,6 +250,75 @@ def _contract() -> str:
     return _raw(" UNION ALL ".join(parts))
 
 
+def _stable() -> str:
+    """Numbers of the first load's ids in their order, then those of ids only the second has."""
+    latest = """SELECT * EXCLUDE (n) FROM (SELECT customer_id, customer_name, region, row_number() OVER (
+        PARTITION BY customer_id ORDER BY order_date DESC, customer_name DESC NULLS LAST, region DESC NULLS LAST) AS n
+      FROM clean WHERE order_date BETWEEN DATE '1993-07-01' AND DATE '1994-06-30') WHERE n = 1"""
+    return _clean(
+        f""", old AS (SELECT customer_id, row_number() OVER (ORDER BY customer_id) AS customer_sk
+          FROM (SELECT DISTINCT customer_id FROM clean
+                WHERE order_date BETWEEN DATE '1992-01-01' AND DATE '1992-12-31')),
+        present AS ({latest}),
+        fresh AS (SELECT customer_id, (SELECT count(*) FROM old) + row_number() OVER (ORDER BY customer_id) AS customer_sk
+          FROM present WHERE customer_id NOT IN (SELECT customer_id FROM old))
+        SELECT CAST(coalesce(o.customer_sk, f.customer_sk) AS BIGINT) AS customer_sk, p.*
+        FROM present p LEFT JOIN old o USING (customer_id) LEFT JOIN fresh f USING (customer_id)"""
+    )
+
+
+def _quarantined() -> str:
+    problems = f"""concat_ws('; ',
+        CASE WHEN customer_id IS NULL THEN 'customer_id:is required' END,
+        CASE WHEN quantity IS NOT NULL AND {_integer("quantity")} IS NULL THEN 'quantity:' || quantity || ':does not cast' END,
+        CASE WHEN unit_price IS NOT NULL AND TRY_CAST(unit_price AS DOUBLE) IS NULL THEN 'unit_price:' || unit_price || ':does not cast' END,
+        CASE WHEN NOT regexp_full_match(order_date, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') THEN 'order_date:' || order_date || ':does not cast' END)"""
+    return _raw(
+        f"""SELECT order_id, customer_id, product_id, quantity,
+          CASE WHEN problems = '' THEN 'accepted' ELSE 'rejected' END AS verdict, problems
+        FROM (SELECT *, {problems} AS problems FROM raw)"""
+    )
+
+
+# Attributes of a customer per day, and the days on which they change.
+_HISTORY = """days AS (
+  SELECT customer_id, order_date, customer_name, region FROM (SELECT *, row_number() OVER (
+    PARTITION BY customer_id, order_date ORDER BY customer_name DESC NULLS LAST, region DESC NULLS LAST) AS n FROM clean)
+  WHERE n = 1 AND (order_date IS NOT NULL OR customer_id NOT IN (SELECT customer_id FROM clean WHERE order_date IS NOT NULL))),
+changes AS (
+  SELECT * FROM (SELECT *, lag(customer_name) OVER w AS old_name, lag(region) OVER w AS old_region,
+                        row_number() OVER w AS n
+    FROM days WINDOW w AS (PARTITION BY customer_id ORDER BY order_date))
+  WHERE n = 1 OR old_name IS DISTINCT FROM customer_name OR old_region IS DISTINCT FROM region),
+history AS (
+  SELECT customer_id, customer_name, region, CAST(row_number() OVER w AS INTEGER) AS version,
+    order_date AS valid_from, CAST(lead(order_date) OVER w - 1 AS DATE) AS valid_to
+  FROM changes WINDOW w AS (PARTITION BY customer_id ORDER BY order_date))"""
+
+
+def _as_of() -> str:
+    return _clean(
+        f""", {_HISTORY}
+        SELECT c.order_id, c.product_id, c.customer_id, c.order_date,
+          h.version, h.customer_name, h.region
+        FROM clean c JOIN history h ON h.customer_id = c.customer_id
+          AND CASE WHEN c.order_date IS NULL THEN h.valid_to IS NULL
+                   ELSE coalesce(h.valid_from, c.order_date) <= c.order_date
+                     AND coalesce(h.valid_to, c.order_date) >= c.order_date END""",
+        _MOVED,
+    )
+
+
+def _fingerprint() -> str:
+    columns = ["order_id", "customer_id", "product_id", "quantity", "order_date", "is_date_missing", "order_date_raw", "category"]
+    texts = [f"CAST({c} AS VARCHAR)" for c in columns]
+    row = " || ".join(f"coalesce(strlen({t}) || ':' || {t}, '-')" for t in texts)
+    return _clean(
+        f"""SELECT count(*) AS rows, CAST(CAST(sum(CAST(CAST('0x' || substr(md5({row}), 1, 15) AS BIGINT)
+          AS HUGEINT)) AS DECIMAL(38,0)) AS VARCHAR) AS digest, TRUE AS as_written FROM clean"""
+    )
+
+
 _TEXT_ROWS = f"SELECT {_TEXT}, quantity, unit_price, total_amount, order_date FROM raw"
 _NUMBER_ROWS = f"SELECT * EXCLUDE (quantity, unit_price, total_amount), {_NUMBERS} FROM raw"
 _PARSED = f"{_DATE_TEXT} AS order_date_clean, {_DATE} AS order_date"
@@ -375,4 +444,16 @@ ORACLES: dict[str, str] = {
         _MOVED,
     ),
     "check_contract": _contract(),
+    "dim_customer_stable": _stable(),
+    "quarantine_rejects": _quarantined(),
+    "scan_new_files": _raw(f"SELECT *, CAST(CASE WHEN {_EVEN} THEN 1 ELSE 2 END AS BIGINT) AS load FROM raw"),
+    "incremental_upsert_version": _latest(),
+    "quarter_by_calendar": _star(
+        f"""SELECT {_FACT_COLUMNS}, strftime(order_date, '%A') AS day_name FROM fact
+        WHERE order_date BETWEEN DATE '1997-04-01' AND DATE '1997-06-30' AND dayofweek(order_date) IN (0, 6)"""
+    ),
+    "join_customer_bucketed": _star("SELECT order_id, product_id, customer_id, customer_sk FROM fact"),
+    "customer_history": _clean(f", {_HISTORY} SELECT * FROM history", _MOVED),
+    "fact_as_of": _as_of(),
+    "table_fingerprint": _fingerprint(),
 }

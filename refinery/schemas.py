@@ -47,11 +47,24 @@ CLEAN = _table(
     order_year=INT, order_month=INT, processed_at=TIMESTAMP,
 )
 
+# What an order line has to be before it is cleaned, for a load that takes only whole ones.
+ORDER_LINE = _table(
+    required=["order_id", "customer_id", "product_id"],
+    order_id=STRING, customer_id=STRING, product_id=STRING,
+    quantity=INT, unit_price=DOUBLE, order_date=DATE,
+)
+
 # Records with too few or too many fields; those kept are in the clean table's input too.
 BROKEN_RECORDS = _table(
     order_id=STRING, record=STRING, kept=BOOLEAN, processed_at=TIMESTAMP,
 )
 
+# The ledger of a table: the files its rows came from.
+FILES_READ = _table(path=STRING, modified=TIMESTAMP, bytes=LONG)
+
+# What a table's rows add up to, whatever their order.
+FINGERPRINT = _table(rows=LONG, digest=STRING)
+
 DIM_CUSTOMER = _table(
     required=["customer_sk"],
     customer_sk=LONG, customer_id=STRING, customer_name=STRING, region=STRING,

@@ -44,6 +44,17 @@ def open_session(
     return builder.getOrCreate()
 
 
+def counting_session(spark: SparkSession) -> SparkSession:
+    """A session over the same context whose tables are counted from the footers of their
+    Parquet files: no rows are read. For counts, least and greatest values alone; a table
+    has to be read through this session."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    session.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return session
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir``, or else what
     ``setCheckpointDir`` was told.

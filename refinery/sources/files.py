@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from refinery.schemas import RAW
+from refinery.sources.versions import current, read_version
 
 # Padding is data until the text step removes it, and a quote is escaped by doubling it.
 _CSV = {
@@ -60,11 +61,13 @@ def read_csv(
     return rows if partitions is None else rows.repartition(partitions)
 
 
-def write_csv(df: DataFrame, path: str, max_records_per_file: int = 0, **options: str) -> None:
-    """Replace ``path`` with CSV part files, one per task or smaller. Blanks are quoted,
-    nulls are not."""
+def write_csv(
+    df: DataFrame, path: str, max_records_per_file: int = 0, append: bool = False, **options: str
+) -> None:
+    """Replace ``path`` with CSV part files, one per task or smaller, or add to those there.
+    Blanks are quoted, nulls are not."""
     (
-        df.write.mode("overwrite")
+        df.write.mode("append" if append else "overwrite")
         .options(**_CSV)
         .option("maxRecordsPerFile", max_records_per_file)
         .options(**options)
@@ -73,7 +76,10 @@ def write_csv(df: DataFrame, path: str, max_records_per_file: int = 0, **options
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A stored layer under its declared schema."""
+    """A stored layer under its declared schema: the newest version of a versioned path, or
+    the plain folder of one that isn't."""
+    if version := current(spark, path):
+        return read_version(spark, path, schema, version=version)
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
@@ -83,16 +89,31 @@ def write_table(
     partition_by: Sequence[str] = (),
     only_partitions_present: bool = False,
     max_records_per_file: int = 0,
+    sort_by: Sequence[str] = (),
+    bloom_filter: Sequence[str] = (),
+    watch: Callable[[DataFrame], DataFrame] | None = None,
+    **options: str,
 ) -> None:
     """Replace a Parquet table, or only those of its partitions that ``df`` holds.
 
     Rows are first brought together by partition so that no task writes a file into
     every folder. The rebalance is adaptive: a partition with a third of all rows is
-    written by many tasks, and small ones share a task.
+    written by many tasks, and small ones share a task. ``sort_by`` orders the rows of a
+    file, so that its row groups hold ranges that don't overlap; ``bloom_filter`` adds
+    filters by which a look for single values passes over row groups, also where many files
+    hold the same range. ``watch`` sees the rows in the stage that writes them.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
+    if watch:
+        df = watch(df)
+    if sort_by:
+        df = df.sortWithinPartitions(*partition_by, *sort_by)
     writer = df.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
+    for column in bloom_filter:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+        writer = writer.option(f"parquet.bloom.filter.adaptive.enabled#{column}", "true")
+    writer = writer.options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by).option(
             "partitionOverwriteMode", "dynamic" if only_partitions_present else "static"

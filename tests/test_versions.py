@@ -1,0 +1,371 @@
+"""Tables as numbered versions: what readers see, what lost and rival writers leave behind."""
+
+from __future__ import annotations
+
+import os
+import time
+from concurrent.futures import ThreadPoolExecutor
+
+import pytest
+from pyspark.sql import functions as F
+
+from refinery.operators import publish
+from refinery.plans import pipeline
+from refinery.plans.refine import refine
+from refinery.schemas import CLEAN, DIM_REGION, FACT_SALES, PARTITION_COLUMNS
+from refinery.sources import ledger, versions
+from refinery.sources.files import read_csv, read_table, write_csv
+from tests.conftest import plan_of, rows_of
+from tests.test_cleaning import raw_frame
+from tests.test_publish import AT, HEAD, NORTH, regions
+
+SOUTH, EAST = (2, "south", "SOUTH", "South Zone"), (3, "east", "EAST", "East Zone")
+
+
+def folders(path):
+    return {name for name in os.listdir(path) if name != versions.FOLDER}
+
+
+def found(spark, path):
+    return rows_of(read_table(spark, path, DIM_REGION))
+
+
+def test_readers_and_a_second_writer_at_every_step_of_a_publish(spark, tmp_path, monkeypatch):
+    """Whatever the writer does next, the old table or the new one is there, whole."""
+    path = f"{tmp_path}/t"
+    publish.publish_version(regions(spark, NORTH), DIM_REGION, path)
+    steps = [(publish, "write_table"), (versions, "_numbers"), (versions, "_create_if_absent"), (versions, "forget"), (versions, "delete")]
+    for module, name in steps:
+        for moment in ("before", "after"):
+            seen, busy = [], []
+            plain = getattr(module, name)
+
+            def step(*args, **more):
+                if busy:
+                    return plain(*args, **more)
+                busy.append(True)
+                if moment == "after":
+                    out = plain(*args, **more)
+                seen.append(found(spark, path))
+                publish.publish_version(regions(spark, EAST), DIM_REGION, path)  # the second writer
+                seen.append(found(spark, path))
+                if moment == "before":
+                    out = plain(*args, **more)
+                seen.append(found(spark, path))
+                return out
+
+            with monkeypatch.context() as patch:
+                patch.setattr(module, name, step)
+                publish.publish_version(regions(spark, SOUTH), DIM_REGION, path)
+            assert len(seen) == 3 and all(rows in ([NORTH], [SOUTH], [EAST]) for rows in seen), (name, moment)
+            assert found(spark, path) in ([SOUTH], [EAST])
+            publish.publish_version(regions(spark, NORTH), DIM_REGION, path)
+    assert len(folders(path)) == versions.KEEP
+
+
+def test_a_reader_holds_its_version_through_later_ones(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    held = publish.publish_version(regions(spark, NORTH), DIM_REGION, path)
+    for _ in range(versions.KEEP - 1):
+        publish.publish_version(regions(spark, SOUTH), DIM_REGION, path)
+        assert rows_of(held) == [NORTH]
+    assert found(spark, path) == [SOUTH]
+
+
+def test_a_failure_at_any_step_leaves_the_version_before(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/t"
+    publish.publish_version(regions(spark, NORTH), DIM_REGION, path)
+    kept = folders(path)
+    with pytest.raises(Exception, match="region_sk is required"):
+        publish.publish_version(regions(spark, (None, "x", "X", "x")), DIM_REGION, path)
+    for module, name in [(publish, "write_table"), (versions, "_commit"), (versions, "_create_if_absent")]:
+        with monkeypatch.context() as patch:
+            patch.setattr(module, name, lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+            with pytest.raises(OSError, match="lost"):
+                publish.publish_version(regions(spark, SOUTH), DIM_REGION, path)
+        assert found(spark, path) == [NORTH] and folders(path) == kept
+
+
+def test_nothing_is_renamed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(publish, "_move", lambda *a: pytest.fail("a move"))
+    clean, star = f"{tmp_path}/clean", f"{tmp_path}/star"
+    rows = refine(raw_frame(spark, {"order_id": "A"}), AT)
+    for _ in range(2):
+        publish.publish_version(rows, CLEAN, clean, PARTITION_COLUMNS)
+        publish.upsert_version(spark, clean, CLEAN, rows)
+        assert pipeline.star_layer(spark, clean, star, AT)["fact_sales"].count() == 1
+
+
+def test_two_writers_of_one_number(spark, tmp_path):
+    """The file of a version can be created once."""
+    path = f"{tmp_path}/t/{versions.FOLDER}/000000000001.json"
+    with ThreadPoolExecutor(8) as pool:
+        made = list(pool.map(lambda i: versions._create_if_absent(spark, path, f"{i}\n"), range(8)))
+    assert made.count(True) == 1
+
+
+def orders(spark, *keys, status="s"):
+    return refine(raw_frame(spark, *[{"order_id": k, "order_date": d, "status": status} for k, d in keys]), AT)
+
+
+TABLE = [("A", "2024-01-05"), ("B", "2024-02-06"), ("C", "2024-03-01"), ("D", "?")]
+
+
+def test_of_two_upserts_at_once_the_later_starts_again(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/t"
+    publish.publish_version(orders(spark, *TABLE), CLEAN, path, PARTITION_COLUMNS)
+    plain, calls = publish.probe, []
+
+    def probe(*args):
+        calls.append(args)
+        if len(calls) == 1:  # another upsert, of the same partition, ends meanwhile
+            publish.upsert_version(spark, path, CLEAN, orders(spark, ("E", "2024-01-07"), status="other"))
+        return plain(*args)
+
+    monkeypatch.setattr(publish, "probe", probe)
+    after = publish.upsert_version(spark, path, CLEAN, orders(spark, ("A", "2024-01-05"), status="new"))
+    assert len(calls) == 3
+    assert dict(map(tuple, after.select("order_id", "status").collect())) == {"A": "new", "B": "s", "C": "s", "D": "s", "E": "other"}
+    assert versions.current(spark, path).number == 3
+
+
+def test_upserts_side_by_side_lose_nothing(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    publish.publish_version(orders(spark, *TABLE), CLEAN, path, PARTITION_COLUMNS)
+    batches = [orders(spark, (f"N{i}", "2024-01-09")) for i in range(4)]
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda b: publish.upsert_version(spark, path, CLEAN, b), batches))
+    assert sorted(r["order_id"] for r in read_table(spark, path, CLEAN).collect()) == ["A", "B", "C", "D", "N0", "N1", "N2", "N3"]
+
+
+def test_the_file_of_a_lost_writer_is_passed_over(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/t"
+    publish.publish_version(orders(spark, *TABLE), CLEAN, path, PARTITION_COLUMNS)
+    open(f"{path}/{versions.FOLDER}/000000000002.json", "w").close()
+    assert read_table(spark, path, CLEAN).count() == 4
+    monkeypatch.setattr(versions, "IN_DOUBT", 3.0)
+    made = os.path.getmtime(f"{path}/{versions.FOLDER}/000000000002.json")
+    assert publish.upsert_version(spark, path, CLEAN, orders(spark, ("E", "2024-01-07"))).count() == 5
+    assert time.time() - made >= 3.0  # it might still have been written
+    assert versions.current(spark, path).number == 3
+
+
+def test_a_writer_that_was_taken_for_lost_is_told(spark, tmp_path, monkeypatch):
+    """Its file came late: a later version stands on the one before."""
+    path = f"{tmp_path}/t"
+    publish.publish_version(orders(spark, *TABLE), CLEAN, path, PARTITION_COLUMNS)
+    base, plain = versions.current(spark, path), versions._create_if_absent
+
+    def slow(spark, file, text):
+        with monkeypatch.context() as patch:
+            patch.setattr(versions, "_create_if_absent", plain)
+            assert plain(spark, file.replace("000000000002", "000000000003"), text)
+        return plain(spark, file, text)
+
+    monkeypatch.setattr(versions, "_create_if_absent", slow)
+    with pytest.raises(versions.Conflict, match="while version 2 was written"):
+        versions._commit(spark, path, base.tables, base)
+
+
+def test_an_upsert_leaves_other_partitions_where_they_are(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    before = publish.publish_version(orders(spark, *TABLE), CLEAN, path, PARTITION_COLUMNS)
+    (first,) = versions.current(spark, path).folders()
+    batch = orders(spark, ("A", "2024-01-05"), ("B", "2024-04-01"), ("E", "2024-05-01"))  # February is left empty
+    expected = rows_of(publish.upsert(before, batch))
+    after = publish.upsert_version(spark, path, CLEAN, batch)
+    assert rows_of(after) == expected
+    held = versions.current(spark, path).folders()
+    assert [p.split("=")[-1] for p in held[first]] == ["3", "__HIVE_DEFAULT_PARTITION__"]
+    assert rows_of(publish.upsert_version(spark, path, CLEAN, batch)) == expected
+    plan = plan_of(read_table(spark, path, CLEAN).filter("order_year = 2024 AND order_month = 3"))
+    assert "PartitionFilters: [isnotnull(order_year" in plan
+
+
+def test_a_plain_folder_becomes_versioned(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    before = publish.publish(orders(spark, *TABLE), CLEAN, path, PARTITION_COLUMNS)
+    batch = orders(spark, ("A", "2024-02-05"), ("E", "2024-05-01"))
+    expected = rows_of(publish.upsert(before, batch))
+    assert rows_of(publish.upsert_version(spark, path, CLEAN, batch)) == expected
+    assert rows_of(read_table(spark, path, CLEAN)) == expected
+
+
+def test_many_small_folders_are_merged(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(versions, "MAX_FOLDERS", 3)
+    path = f"{tmp_path}/t"
+    publish.publish_version(orders(spark, *TABLE), CLEAN, path, PARTITION_COLUMNS)
+    for month in range(1, 9):
+        publish.upsert_version(spark, path, CLEAN, orders(spark, (f"N{month}", f"2023-{month:02d}-01")))
+        assert len(versions.current(spark, path).folders()) <= 3
+    assert read_table(spark, path, CLEAN).count() == 12
+    assert len(folders(path)) <= 3 + versions.KEEP
+
+
+def test_abandoned_folders_go_when_asked(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    publish.publish_version(regions(spark, NORTH), DIM_REGION, path)
+    os.mkdir(f"{path}/lost")
+    versions.forget(spark, path)
+    assert "lost" in folders(path)
+    versions.forget(spark, path, abandoned_after=0)
+    assert len(folders(path)) == 1 and found(spark, path) == [NORTH]
+
+
+# Quarantine
+
+
+def test_bad_rows_are_set_aside_with_their_reasons(spark, tmp_path):
+    text = spark.createDataFrame(
+        [("1", "n", "N", "z"), ("x", "s", "S", "z"), (None, None, "E", None), ("2", "w", "W", "z")],
+        "region_sk string, region_name string, region_code string, geo_zone string",
+    )
+    path = f"{tmp_path}/t"
+    good = publish.publish_version(text, DIM_REGION, path, quarantine=True)
+    assert rows_of(good) == [(1, "n", "N", "z"), (2, "w", "W", "z")] == found(spark, path)
+    bad = publish.read_rejects(spark, path).orderBy("record").collect()
+    assert [[tuple(p) for p in r["problems"]] for r in bad] == [
+        [("region_sk", "x", "does not cast")], [("region_sk", None, "is required")],
+    ]
+    assert '"region_name":"s"' in bad[0]["record"] and '"region_name":null' in bad[1]["record"]
+    assert good.count() + len(bad) == text.count()
+    halves = regions(spark, NORTH).withColumn("region_sk", F.lit(2.5))
+    assert publish.publish_version(halves, DIM_REGION, path, quarantine=True).count() == 0
+    assert publish.read_rejects(spark, path).first()["problems"][0]["reason"] == "changes when cast"
+    publish.publish_version(regions(spark, NORTH), DIM_REGION, path, quarantine=True)
+    assert publish.read_rejects(spark, path).count() == 0
+    with pytest.raises(ValueError, match="undeclared"):
+        publish.publish_version(text.withColumn("more", F.lit(1)), DIM_REGION, path, quarantine=True)
+
+
+def test_one_bad_fact_row_does_not_lose_the_others(spark, tmp_path, monkeypatch):
+    clean, star = f"{tmp_path}/clean", f"{tmp_path}/star"
+    publish.publish(orders(spark, *TABLE), CLEAN, clean, PARTITION_COLUMNS)
+    plain = pipeline.build_fact
+    spoiled = F.when(F.col("order_id") == "B", "many").otherwise(F.col("quantity").cast("string"))
+    monkeypatch.setattr(pipeline, "build_fact", lambda *a: plain(*a).withColumn("quantity", spoiled))
+    with pytest.raises(Exception, match="quantity does not cast"):
+        pipeline.star_layer(spark, clean, star, AT)
+    tables = pipeline.star_layer(spark, clean, star, AT, quarantine=True)
+    assert sorted(r["order_id"] for r in tables["fact_sales"].collect()) == ["A", "C", "D"]
+    assert tables["fact_sales"].columns == FACT_SALES.names
+    (lost,) = publish.read_rejects(spark, star, "fact_sales").collect()
+    assert tuple(lost["problems"][0]) == ("quantity", "many", "does not cast")
+
+
+# Files that are read once
+
+
+def drop(folder, name, *rows):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text(HEAD + "".join(f"{k},K1,Ann,P1,Pen,T,1,1,1,2024-01-0{d},n,{s}\n" for k, d, s in rows))
+
+
+def test_a_file_is_loaded_once(spark, tmp_path):
+    raw, path = tmp_path / "raw", f"{tmp_path}/loaded"
+    drop(raw, "a.csv", ("A", 1, "s"), ("B", 2, "s"))
+    loads = lambda: sorted(map(tuple, ledger.ingest(spark, str(raw), path).select("order_id", "load").collect()))
+    assert loads() == [("A", 1), ("B", 1)]
+    drop(raw, "b [1].csv", ("C", 3, "s"))  # signs of a pattern are part of the name
+    assert loads() == [("A", 1), ("B", 1), ("C", 2)] == loads()
+    assert versions.current(spark, path).number == 2
+    os.utime(raw / "a.csv", (2_000_000_000, 2_000_000_000))  # written anew
+    assert loads() == [("A", 1), ("A", 3), ("B", 1), ("B", 3), ("C", 2)]
+    assert ledger.ingest(spark, str(raw), f"{tmp_path}/none", pattern="*.txt").count() == 0
+
+
+def test_a_load_that_fails_is_repeated_whole(spark, tmp_path, monkeypatch):
+    raw, path = tmp_path / "raw", f"{tmp_path}/loaded"
+    drop(raw, "a.csv", ("A", 1, "s"))
+    with monkeypatch.context() as patch:
+        patch.setattr(versions, "_commit", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            ledger.ingest(spark, str(raw), path)
+    assert ledger.unread_files(spark, str(raw), path).count() == 1 and not folders(path)
+    assert ledger.ingest(spark, str(raw), path).count() == 1
+    assert ledger.unread_files(spark, str(raw), path).count() == 0
+
+
+def test_the_batch_takes_new_files_only(spark, tmp_path):
+    raw, clean = tmp_path / "raw", f"{tmp_path}/clean"
+    drop(raw, "a.csv", ("A", 1, "old"), ("B", 2, "old"))
+    run = lambda day: pipeline.clean_layer(spark, str(raw), clean, AT.replace(day=day), incremental=True, new_files_only=True)
+    statuses = lambda df: dict(map(tuple, df.select("order_id", "status").collect()))
+    assert statuses(run(1)) == {"A": "old", "B": "old"}
+    drop(raw, "b.csv", ("B", 2, "new"), ("C", 3, "new"))
+    assert statuses(run(2)) == {"A": "old", "B": "new", "C": "new"}
+    number = versions.current(spark, clean).number
+    assert statuses(run(3)) == {"A": "old", "B": "new", "C": "new"}
+    assert versions.current(spark, clean).number == number  # a repeated run loads nothing
+
+
+# Broken records, and one scan of the raw files
+
+
+def test_a_repeated_run_neither_loses_nor_doubles_broken_records(spark, tmp_path, monkeypatch):
+    raw, clean = tmp_path / "raw", f"{tmp_path}/clean"
+    drop(raw, "a.csv", ("A", 1, "s"))
+    with open(raw / "a.csv", "a") as file:
+        file.write("X,K1\nY\n")
+    records = lambda: sorted(r["record"] for r in spark.read.parquet(pipeline.broken_path(clean)).collect())
+    pipeline.clean_layer(spark, str(raw), clean, AT)
+    later = AT.replace(day=2)
+    with monkeypatch.context() as patch:
+        patch.setattr(versions, "_commit", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            pipeline.clean_layer(spark, str(raw), clean, later, incremental=True)
+    assert records() == ["X,K1", "X,K1", "Y", "Y"]
+    for _ in range(2):
+        pipeline.clean_layer(spark, str(raw), clean, later, incremental=True)
+        assert records() == ["X,K1", "X,K1", "Y", "Y"]
+    pipeline.clean_layer(spark, str(raw), clean, AT.replace(day=3))
+    spark.catalog.refreshByPath(pipeline.broken_path(clean))
+    assert records() == ["X,K1", "Y"]
+
+
+def test_the_whole_batch_scans_the_raw_files_once(spark, tmp_path, monkeypatch, capsys):
+    import run_pipeline
+
+    raw = tmp_path / "raw"
+    drop(raw, "a.csv", ("A", 1, "s"), ("B", 2, "s"))
+    scans, plain = [], pipeline.read_csv
+    monkeypatch.setattr(pipeline, "read_csv", lambda *a, **k: (scans.append(a), plain(*a, **k))[1])
+    reports = {}
+    keep = run_pipeline.materialize
+    monkeypatch.setattr(run_pipeline, "materialize", lambda df, name: (reports.setdefault(name, []).append(plan_of(df)), keep(df, name))[1])
+    monkeypatch.setattr("sys.argv", ["run_pipeline.py", "all", "--raw", str(raw), "--clean", f"{tmp_path}/c", "--star", f"{tmp_path}/s"])
+    run_pipeline.run(spark, run_pipeline.arguments())
+    assert len(scans) == 1
+    assert {"report-steps", "report-broken", "report-contract", "report-tables", "report-quality"} <= set(reports)
+    assert all(len(plans) == 1 and "FileScan csv" not in plans[0] and "Scan csv" not in plans[0] for plans in reports.values())
+    assert "PushedAggregat" in reports["report-tables"][0]
+    assert "fact_sales" in capsys.readouterr().out
+    assert rows_of(read_csv(spark, str(raw)).select("order_id")) == [("A",), ("B",)]
+
+
+def test_fingerprints_tell_a_changed_table(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    rows = orders(spark, *TABLE).repartition(3)
+    publish.publish_version(rows, CLEAN, path, PARTITION_COLUMNS, mark=True)
+    (right,) = publish.check_mark(spark, path, CLEAN).collect()
+    assert right["rows"] == 4 and right["as_written"]
+    from refinery.operators.fingerprint import fingerprint
+
+    copies = rows.unionByName(rows.limit(1))
+    nulls = rows.withColumn("status", F.when(F.col("order_id") != "A", F.col("status")))
+    prints = {fingerprint(df).first()["digest"] for df in (rows, rows.orderBy(F.desc("order_id")), copies, nulls)}
+    assert right["digest"] in prints and len(prints) == 3
+    (folder,) = versions.current(spark, path).folders()
+    january = f"{path}/{folder}/order_year=2024/order_month=1"
+    orders(spark, ("A", "2024-01-05"), status="else").drop(*PARTITION_COLUMNS).write.mode("overwrite").parquet(january)
+    spark.catalog.refreshByPath(path)
+    assert publish.check_mark(spark, path, CLEAN).first()["as_written"] is False
+    publish.upsert_version(spark, path, CLEAN, orders(spark, ("Z", "2024-01-05")))
+    assert publish.check_mark(spark, path, CLEAN).first()["as_written"] is None
+
+
+def test_csv_can_be_added_to(spark, tmp_path):
+    rows = raw_frame(spark, {"order_id": "A"}, {"order_id": "B"})
+    for _ in range(2):
+        write_csv(rows, f"{tmp_path}/t", append=True)
+    assert read_csv(spark, f"{tmp_path}/t", pattern="*.csv").count() == 4
