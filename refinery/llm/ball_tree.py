@@ -10,9 +10,10 @@ the best k of those are the result.
 
 Components become floor(64 * x), so scores are whole numbers and ties are exact; ties go to
 the smaller id. Vectors that are null or hold null or non-finite components, and rows without
-an id, take no part. Rows that share an id are one vector, the first in order. Only vectors of
-equal length are compared. Fewer than k candidates give fewer rows; an empty table gives none.
-Scores have to fit into 64 bits.
+an id, take no part. Rows that share an id are each a candidate, but not for one another; a
+query id with several rows has the best of the pairs of all of them, one row per pair. Only
+vectors of equal length are compared. Fewer than k candidates give fewer rows; an empty table
+gives none. Other columns may have any name. Scores have to fit into 64 bits.
 """
 
 from __future__ import annotations
@@ -133,11 +134,10 @@ def whole_vectors(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
 
 
 def arrays(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Ids in order, one row each, and their vectors, in the narrowest type that holds them."""
+    """Ids in order and their vectors, in the narrowest type that holds them."""
     pairs = sorted((int(i), tuple(x)) for i, x in zip(rows["id"], rows["x"]))
-    first = {i: x for i, x in reversed(pairs)}
-    ids = np.array(sorted(first), dtype=np.int64)
-    vectors = np.array([first[i] for i in ids.tolist()], dtype=np.int64).reshape(len(ids), -1)
+    ids = np.array([i for i, _ in pairs], dtype=np.int64)
+    vectors = np.array([x for _, x in pairs], dtype=np.int64).reshape(len(ids), -1)
     most = int(max(vectors.max(initial=0), ~vectors.min(initial=0)))
     return ids, vectors.astype(next(t for t in (np.int16, np.int32, np.int64) if most <= np.iinfo(t).max))
 

@@ -6,9 +6,15 @@ is learned from the labels too: entries that are far commoner in toxic texts tha
 Trees are boosted on four parts of the labelled rows, and the step from their score to a
 probability is fitted on a fifth by isotonic regression.
 
-Empty and null texts are scored by their (zero) features. Without labels of both kinds every
-score is the share of toxic labels, or 0 without any. Of several labels of one document the
-highest counts. Rows are neither dropped nor merged.
+Fitting is bounded: by ``MAX_LABELLED`` labelled rows, chosen by a hash of the id, and by the
+``LEXICON`` entries that tell most. With fewer than ``APART`` labelled rows a fifth is too
+little to calibrate on, and the steps are fitted on the training rows.
+
+Empty and null texts are scored by their (zero) features, long ones whole. Without labels of
+both kinds every score is the share of toxic labels, or 0 without any. A label is 0 or 1;
+other values are none. Of several labels of one document the highest counts. Rows are neither
+dropped nor merged, repeated ones included; an empty table gives an empty one. The score goes
+in place of a column of its name; all other columns may have any name.
 """
 
 from __future__ import annotations
@@ -34,6 +40,7 @@ from refinery.session import materialize
 WORD = re.compile(r"[^\W\d_]+")
 STEMS = (4, 5, 6)  # lengths of word beginnings in the lexicon
 LEXICON = 2_000  # entries, at most
+APART = 500  # labelled rows from which on a part of them is kept for calibration
 LEAST_TEXTS, LEAST_ODDS = 4, 2.0  # what makes an entry: toxic texts with it, log odds
 NEAR = 4  # words between a lexicon word and one for the reader
 
@@ -199,7 +206,7 @@ class ToxicityModel:
 
 def learn(docs: DataFrame, labels: DataFrame, where: Column, rows: int = MAX_LABELLED) -> ToxicityModel:
     """A model of the labels for which ``where`` holds (a condition on doc_id)."""
-    sample = labelled_texts(docs, labels, F.max(F.col("toxic").cast("int")), where, rows)
+    sample = labelled_texts(docs, labels, F.max(F.when(F.col("toxic").isin(0, 1), F.col("toxic").cast("int"))), where, rows)
     kinds = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     if set(kinds) != {0, 1}:
         total = sum(kinds.values())
@@ -211,7 +218,7 @@ def learn(docs: DataFrame, labels: DataFrame, where: Column, rows: int = MAX_LAB
     dense = materialize(dense, "toxic-features").coalesce(8)
     boosted = GBTClassifier(maxIter=20, maxDepth=3, stepSize=0.3, minInstancesPerNode=3, seed=7)
     model.trees = boosted.fit(dense.filter("part > 0"))
-    raw = model.trees.transform(dense.filter("part = 0" if sum(kinds.values()) >= 500 else "true"))
+    raw = model.trees.transform(dense.filter("part = 0" if sum(kinds.values()) >= APART else "true"))
     raw = raw.select("label", vector_to_array("probability")[1].alias("raw"))
     model.steps = IsotonicRegression(featuresCol="raw", labelCol="label").fit(raw)
     return model

@@ -13,6 +13,9 @@ ASCII_SPACE = r"[\x20\x09-\x0D]"
 
 #: Entries a worker keeps of what it has worked out for single words.
 MEMO_ENTRIES = 300_000
+#: Bytes a memo of words may take, of which a word takes so many besides its letters and its
+#: value; and the longest word that is kept.
+MEMO_BYTES, ENTRY_BYTES, LONGEST = 64 << 20, 160, 64
 
 
 class Memo(dict):
@@ -35,22 +38,28 @@ class Memo(dict):
         return found
 
 
-class AgingMemo(Memo):
-    """A memo that keeps the generation before the present one: when full, what was met since
-    the last time stays at hand, and only what was not met in two generations is forgotten."""
+class WordMemo(dict):
+    """A function of single words, kept for short words up to a number of bytes.
 
-    def __init__(self, work: Callable, entries: int = MEMO_ENTRIES // 2):
-        super().__init__(work, entries)
-        self.older: dict = {}
+    Words beyond ``LONGEST`` characters, such as whole texts without spaces, are worked out
+    anew each time: they hardly come again, and would fill the memory. When full it starts
+    anew, as ``Memo`` does.
+    """
+
+    def __init__(self, work: Callable, size: Callable[[object], int], budget: int = MEMO_BYTES):
+        super().__init__()
+        self.work, self.size = work, size
+        self.budget = self.room = budget
 
     def __missing__(self, word):
-        found = self.older.get(word)
-        if found is None:
-            found = self.work(word)
-        if len(self) >= self.entries:
-            self.older = self.copy()
-            self.clear()
-        self[word] = found
+        found = self.work(word)
+        if len(word) <= LONGEST:
+            need = ENTRY_BYTES + 4 * len(word) + self.size(found)
+            if need > self.room:
+                self.clear()
+                self.room = self.budget
+            self.room -= need
+            self[word] = found
         return found
 
 

@@ -6,12 +6,17 @@ texts, turn it into probabilities of the grades: P(grade > k) = sigmoid(eta - th
 Weights and thresholds are fitted together, by the likelihood of the grades, on a bounded
 sample of labelled rows. Selection is by a tail probability, P(grade >= least).
 
-The grades of the label table: 0 for quality 0, 1 for quality 1 in a toxic text, 2 for
-quality 1 otherwise; of several labels of one document the lowest grade counts.
-
-Empty and null texts have no tokens but that of their emptiness. Without labels, or with one
-grade only, nothing can be told: every tail probability is 1 (all are kept). Rows are neither
-dropped nor merged but by ``select_quality``, which drops what isn't selected.
+Grades are whole numbers from 0, given as an expression over the labels of one document.
+``label_grade``, that of the queries: 0 for quality 0, 1 for quality 1 in a toxic text, 2 for
+quality 1 otherwise; of several labels of one document the lowest grade counts, and other
+values of quality are no labels. Labels without a document, or without a grade, take no part.
+
+Empty and null texts have no tokens but that of their emptiness; long ones are read whole.
+Without labels, or with one grade only, nothing can be told: every tail probability is 1 (all
+are kept). Rows are neither dropped nor merged, repeated ones included, but by
+``select_quality``, which drops what isn't selected; an empty table gives an empty one.
+``grade_column`` puts its result in place of a column of that name; elsewhere other columns
+may have any name.
 """
 
 from __future__ import annotations
@@ -19,6 +24,7 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,7 +37,7 @@ from refinery.llm.samples import labelled_texts
 
 BITS = 18
 #: Labelled rows that the model is fitted on, at most.
-FIT_ROWS = 6_000
+FIT_ROWS = 10_000
 TOKEN = re.compile(r"[^\W\d_]+|[^\w\s]+|\d+")
 
 
@@ -87,7 +93,12 @@ class CumulativeLink:
         return sigmoid(eta.reshape(-1, 1) - self.thresholds)
 
 
-def fit(texts, grades: np.ndarray, rounds: int = 80, rate: float = 0.05, ridge: float = 1e-4) -> CumulativeLink:
+def fit(texts, grades: np.ndarray, **settings) -> CumulativeLink:
+    """``fit_sets`` on the token sets of texts."""
+    return fit_sets([hashed(t) for t in texts], grades, **settings)
+
+
+def fit_sets(sets: list[np.ndarray], grades: np.ndarray, rounds: int = 80, rate: float = 0.05, ridge: float = 1e-4) -> CumulativeLink:
     """Maximum likelihood with a ridge, by Adam over all rows at once.
 
     The first threshold is free, and each further one lies exp(gap) above that before it,
@@ -96,7 +107,6 @@ def fit(texts, grades: np.ndarray, rounds: int = 80, rate: float = 0.05, ridge:
     levels = int(grades.max(initial=0)) + 1
     if len(np.unique(grades)) < 2:
         return CumulativeLink(np.zeros(1 << BITS, dtype=np.float32), np.zeros(0))
-    sets = [hashed(t) for t in texts]
     sizes = np.array([len(s) for s in sets])
     row, col = np.repeat(np.arange(len(sets)), sizes), np.concatenate(sets)
     scale = np.repeat(1 / np.sqrt(sizes), sizes)
@@ -128,11 +138,25 @@ def fit(texts, grades: np.ndarray, rounds: int = 80, rate: float = 0.05, ridge:
     return CumulativeLink(weights, theta)
 
 
-def learn(docs: DataFrame, labels: DataFrame, where: Column, rows: int = FIT_ROWS) -> CumulativeLink:
-    """A model of the labels for which ``where`` holds (a condition on doc_id)."""
-    grade = F.min(F.when(F.col("quality") == 0, 0).when(F.col("quality") == 1, F.when(F.col("toxic") == 1, 1).otherwise(2)))
-    sample = labelled_texts(docs, labels, grade, where, rows).select("text", "label").toPandas()
-    return fit(sample["text"], sample["label"].to_numpy(dtype=np.int64))
+def label_grade() -> Column:
+    return F.min(F.when(F.col("quality") == 0, 0).when(F.col("quality") == 1, F.when(F.col("toxic") == 1, 1).otherwise(2)))
+
+
+def learn(docs: DataFrame, labels: DataFrame, where: Column, rows: int = FIT_ROWS, grade: Column | None = None) -> CumulativeLink:
+    """A model of the labels for which ``where`` holds (a condition on doc_id).
+
+    Texts become sets of hash values in the tasks; the driver gets those of the sample, at
+    most 2^18 numbers for each text however long it is."""
+    sample = labelled_texts(docs, labels, label_grade() if grade is None else grade, where, rows)
+
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            contents = [hashed(t).astype("<i4").tobytes() for t in batch["text"]]
+            yield pd.DataFrame({"label": batch["label"].astype("int64"), "content": contents})
+
+    found = sample.select("text", "label").mapInPandas(sets, "label long, content binary").toArrow()
+    own = [np.frombuffer(x.as_buffer(), dtype="<i4") for x in found["content"]]
+    return fit_sets(own, found["label"].to_numpy())
 
 
 _models: dict[str, CumulativeLink] = {}

@@ -10,7 +10,10 @@ so merges never cross from one word into the next: each word is counted by itsel
 the counts of words met lately are kept.
 
 Null texts count as empty and have no tokens. Rows are neither dropped nor merged, so
-repeated rows and null ids keep their own result; other columns stay as they are.
+repeated rows and null ids keep their own result, and an empty table gives an empty one.
+The count goes into the column that the caller names, in place of one of that name if there
+is one; all other columns stay as they are. Texts of any length are counted whole: one
+without spaces is a single word, which takes n log n steps and is not kept.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.common import Memo, shared_bytes, tokenizer_file
+from refinery.llm.common import WordMemo, shared_bytes, tokenizer_file
 
 MARK = "▁"  # stands for a space inside pieces
 
@@ -43,7 +46,7 @@ class PieceCounter:
                 if MARK in piece.lstrip(MARK):
                     raise ValueError(f"piece {piece!r} crosses words")
                 self.rank[piece] = -processor.GetScore(i)
-        self.word = Memo(lambda word: self.merge(MARK + word))
+        self.word = WordMemo(lambda word: self.merge(MARK + word), lambda count: 28)
 
     def merge(self, text: str) -> int:
         rank = self.rank.get

@@ -7,7 +7,12 @@ two parts is deleted, and the ranks on either side are looked up again. Words of
 lowest rank through a heap instead; the merges, and so the result, are the same.
 
 A null text is empty: no tokens, and an empty text after decoding. Rows are neither
-dropped nor merged; other columns stay as they are.
+dropped nor merged, and an empty table gives an empty one. The result goes into the column
+that the caller names, in place of one of that name if there is one; all other columns stay
+as they are. Long texts are coded whole; what a worker keeps of words is bounded in bytes.
+
+Only vocabularies that treat texts as this module does can be read: one with another
+normaliser, another way to split, or a decoder is refused.
 """
 
 from __future__ import annotations
@@ -15,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
+from collections.abc import Iterator, Sequence
 from heapq import heapify, heappop, heappush
 from itertools import chain
 
@@ -23,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.common import Memo, shared_bytes, tokenizer_file
+from refinery.llm.common import WordMemo, shared_bytes, tokenizer_file
 
 SCAN_LIMIT = 256
 NO_RANK = 1 << 60
@@ -32,6 +38,28 @@ NO_RANK = 1 << 60
 SPACE = r"\t-\r \x85\xa0  -     　"
 WORDS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
 
+# How the vocabularies that this module reads treat texts.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLIT = {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
+
+
+def verify(spec: dict) -> None:
+    """Refuse a vocabulary that treats texts otherwise: its ids would be others."""
+    model, split, letters = spec["model"], *((spec["pre_tokenizer"] or {}).get("pretokenizers") or [{}, {}])[:2]
+    alike = [
+        (spec["normalizer"] or {}).get("normalizers") == NORMALIZERS,
+        len((spec["pre_tokenizer"] or {}).get("pretokenizers", [])) == 2,
+        split.get("type") == "Split" and split.get("pattern") == SPLIT,
+        split.get("behavior") == "Removed" and split.get("invert") is True,
+        letters.get("type") == "ByteLevel" and not letters.get("use_regex") and not letters.get("add_prefix_space"),
+        spec["decoder"] is None,
+        model.get("type") == "BPE" and bool(model.get("end_of_word_suffix")),
+        not any(model.get(x) for x in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges")),
+        not any(x[flag] for x in spec["added_tokens"] for flag in ("single_word", "lstrip", "rstrip", "normalized")),
+    ]
+    if not all(alike):
+        raise ValueError("only vocabularies that lower-case, split and write bytes as this module does")
+
 
 def byte_letters() -> list[str]:
     """The printable letter that byte-level vocabularies write for each of the 256 bytes.
@@ -44,12 +72,18 @@ def byte_letters() -> list[str]:
     return [chr(b if b in own else next(spare)) for b in range(256)]
 
 
+def ids_size(ids: tuple[int, ...]) -> int:
+    """Bytes of a tuple of ids; the numbers are those of the vocabulary."""
+    return 40 + 8 * len(ids)
+
+
 class RankCoder:
     """Encodes and decodes as a tokenizers file with word ends, lower case and byte letters."""
 
     def __init__(self, content: bytes):
         spec = json.loads(content)
         model = spec["model"]
+        verify(spec)
         self.end = model["end_of_word_suffix"]
         self.ids: dict[str, int] = model["vocab"]
         self.ranks = {tuple(pair): at for at, pair in enumerate(model["merges"])}
@@ -59,8 +93,9 @@ class RankCoder:
         self.first_letters = {x[:2] for x in added}
         self.token = dict(zip(self.ids.values(), self.ids)) | {i: x for x, i in added.items()}
         self.letters = byte_letters()
-        self.word = Memo(self.encode_word)
-        self.chunk = Memo(self.encode_chunk)
+        self.word = WordMemo(self.encode_word, ids_size)
+        self.chunk = WordMemo(self.encode_chunk, ids_size)
+        self.both = WordMemo(self.code_chunk, lambda found: 160 + 4 * (len(found[1]) + len(found[2])))
 
     def rank_at(self, text: str, cut: list[int], i: int) -> int:
         return self.ranks.get((text[cut[i] : cut[i + 1]], text[cut[i + 1] : cut[i + 2]]), NO_RANK)
@@ -109,20 +144,38 @@ class RankCoder:
         plain = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
         return tuple(chain.from_iterable(map(self.word.__getitem__, WORDS.findall(plain))))
 
-    def encode(self, text: str | None) -> list[int]:
-        if not text:
-            return []
+    def code_chunk(self, chunk: str) -> tuple[int, str, str]:
+        """How many ids a chunk has, those as text, and what they decode to."""
+        ids = self.encode_chunk(chunk)
+        return len(ids), " ".join(map(str, ids)), self.decode(ids)
+
+    def chunks(self, text: str) -> Iterator[tuple[bool, list[str]]]:
+        """The text as added tokens (true, and that one) and chunks between spaces."""
         if self.split is None or not any(x in text for x in self.first_letters):
-            return list(chain.from_iterable(map(self.chunk.__getitem__, text.split(" "))))
-        found: list[int] = []
+            yield False, text.split(" ")
+            return
         for part in self.split.split(text):
-            if part in self.added:
-                found.append(self.added[part])
-            else:
-                found += chain.from_iterable(map(self.chunk.__getitem__, part.split(" ")))
+            yield (True, [part]) if part in self.added else (False, part.split(" "))
+
+    def encode(self, text: str | None) -> list[int]:
+        found: list[int] = []
+        for added, parts in self.chunks(text or ""):
+            found += [self.added[parts[0]]] if added else chain.from_iterable(map(self.chunk.__getitem__, parts))
         return found
 
-    def decode(self, ids: list[int]) -> str:
+    def coded(self, text: str | None) -> tuple[int, str, str]:
+        """The number of ids of a text, its ids joined by spaces, and what they decode to.
+        Chunk by chunk, as both join what the chunks give."""
+        found: list[tuple[int, str, str]] = []
+        for added, parts in self.chunks(text or ""):
+            if added:
+                found.append((1, str(self.added[parts[0]]), parts[0]))
+            else:
+                found += map(self.both.__getitem__, parts)
+        found = [x for x in found if x[0]]
+        return sum([x[0] for x in found]), " ".join([x[1] for x in found]), " ".join([x[2] for x in found])
+
+    def decode(self, ids: Sequence[int]) -> str:
         """The tokens joined by spaces, which is what a vocabulary without a decoder gives."""
         return " ".join(map(self.token.__getitem__, ids))
 
@@ -170,8 +223,8 @@ def coding_report(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
         own = coder(shared.value)
         rows = []
         for text in texts:
-            ids = own.encode(text)
-            rows.append((len(ids), sha256(" ".join(map(str, ids))), sha256(own.decode(ids))))
+            count, ids, decoded = own.coded(text)
+            rows.append((count, sha256(ids), sha256(decoded)))
         return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     found = docs.select(F.col("doc_id").cast("long"), digest(F.col("text")).alias("found"))

@@ -22,7 +22,8 @@ collections, which texts of similarity 0.85 fail to do once in 30,000 pairs, and
 Words are what stands between the characters ``[\\x20\\x09-\\x0D]``, with A-Z lower-cased. A
 text of fewer words than a shingle is one shingle; null, empty and blank texts have none and
 are linked with nothing. Rows that share an id are one document: their sets are linked. Rows
-with a null id take no part, and have a null component. Texts are compared whole.
+with a null id take no part, and have a null component. Texts are compared whole. An empty
+table gives an empty result. Only doc_id and text are read: other columns may have any name.
 """
 
 from __future__ import annotations
@@ -238,4 +239,6 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
 def drop_near(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` whose document stays, with their columns."""
     gone = materialize(near_groups(docs, words, percent).filter("NOT kept").select(F.col("doc_id").alias("gone")).distinct(), "gone")
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("gone"), "left_anti")
+    # The row is put aside as one column, so that none of its names can clash.
+    aside = docs.select(F.struct(*[F.col(f"`{x}`") for x in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"))
+    return aside.join(gone, F.col("id") == F.col("gone"), "left_anti").select("row.*")

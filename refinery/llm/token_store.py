@@ -20,19 +20,16 @@ table gives an empty store.
 from __future__ import annotations
 
 import json
-import re
 import zlib
 from collections.abc import Iterator
-from struct import pack as pack_ids
 
 import numpy as np
 import pandas as pd
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from refinery.llm.common import AgingMemo, shared_bytes, shuffle_partitions, tokenizer_file
+from refinery.llm.common import shared_bytes, shuffle_partitions, tokenizer_file
 from refinery.llm.rank_bpe import byte_letters
 from refinery.session import materialize, scratch_path
 
@@ -41,7 +38,7 @@ BLOCK = 512  # entries for each count in a rank directory
 SEGMENT_TOKENS = 1 << 20
 SEGMENT_SCHEMA = "task int, segment int, before long, n_docs long, n_tokens long, payload binary"
 # Fixed value: how byte-level files split texts before merging.
-PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _ONES = np.array([bin(x).count("1") for x in range(256)], dtype=np.int64)
 
 
@@ -130,67 +127,52 @@ class Segment:
             yield (int(self.named[i]) if self.known[i] else None), a, self.slice(a, b)
 
 
-class _Adjacent(Exception):
-    """White space next to a space, where words can't be told apart by spaces alone."""
-
-
 class ByteEncoder:
-    """Ids of a byte-level tokenizers file, word by word.
+    """Ids of a byte-level tokenizers file.
 
-    The library splits a text before each space that stands between two characters which
-    aren't white space, whatever lies around them. So it is asked for the ids of each
-    different word only, and those of words met lately are kept. Words without the string of
-    an added token go straight to the library's merging model.
+    Where the file is a plain one (texts as they are, the usual pattern, merges in the order
+    of their ids, and every entry what its own bytes merge to) its pairs are handed to the
+    coder of ``tiktoken``, which gives the same ids from whole texts several times faster and
+    keeps nothing of them. Any other file is left to the ``tokenizers`` library.
     """
 
     def __init__(self, content: bytes):
         from tokenizers import Tokenizer
 
         spec = json.loads(content)
-        split = spec["pre_tokenizer"] or {}
-        plain = spec["normalizer"] is None and split.get("type") == "ByteLevel" and split.get("use_regex")
         self.library = Tokenizer.from_str(content.decode())
         self.library.no_truncation()
         self.library.no_padding()
-        self.model = self.library.model if plain and not split.get("add_prefix_space") else None
-        self.added = [x["content"] for x in spec["added_tokens"]]
-        self.letters = dict(enumerate(byte_letters()))
-        self.follower = AgingMemo(self.after_space, 300_000)
-        self.piece = AgingMemo(self.merge, 100_000)
-        self.alone = AgingMemo(self.ask, 20_000)
-
-    def ask(self, text: str) -> bytes:
-        if self.model is None or any(x in text for x in self.added):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        return b"".join(map(self.piece.__getitem__, PIECES.findall(text)))
-
-    def merge(self, piece: str) -> bytes:
-        tokens = self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))
-        return pack_ids("<%dI" % len(tokens), *[x.id for x in tokens])
-
-    def after_space(self, word: str) -> bytes:
-        if not word or word[0].isspace() or word[-1].isspace():
-            raise _Adjacent
-        if self.model is not None and word.isalpha():  # one piece, as is what follows
-            return self.piece[" " + word]
-        if self.model is not None and word[-1] in ".,;:!?" and word[:-1].isalpha():
-            return self.piece[" " + word[:-1]] + self.piece[word[-1]]
-        return self.ask(" " + word)
-
-    def __call__(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        first, *others = text.split(" ")
-        if others and (not first or first[-1].isspace()):
-            return self.spaced(text)
-        try:
-            return self.alone[first] + b"".join(map(self.follower.__getitem__, others))
-        except _Adjacent:
-            return self.spaced(text)
+        self.coder = plain_coder(spec, self.library)
 
-    def spaced(self, text: str) -> bytes:
-        first, *others = re.split(r"(?<=\S) (?=\S)", text)
-        return b"".join(map(self.alone.__getitem__, [first, *(" " + x for x in others)]))
+    def __call__(self, text: str | None) -> np.ndarray:
+        if not text:
+            return np.zeros(0, dtype="<u4")
+        if self.coder is None:
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        return self.coder.encode_to_numpy(text, allowed_special="all", disallowed_special=())
+
+
+def plain_coder(spec: dict, library):
+    """The coder for a plain file, or None."""
+    from tiktoken import Encoding
+
+    split, model = spec["pre_tokenizer"] or {}, spec["model"]
+    odd = [spec["normalizer"], split.get("add_prefix_space"), model.get("dropout"), model.get("byte_fallback")]
+    odd += [model.get("continuing_subword_prefix"), model.get("end_of_word_suffix")]
+    odd += [x[flag] for x in spec["added_tokens"] for flag in ("single_word", "lstrip", "rstrip", "normalized")]
+    if any(odd) or split.get("type") != "ByteLevel" or not split.get("use_regex") or model.get("type") != "BPE":
+        return None
+    vocab, added = model["vocab"], {x["content"]: x["id"] for x in spec["added_tokens"]}
+    merged = [vocab.get("".join(m) if isinstance(m, list) else m.replace(" ", "", 1)) for m in model["merges"]]
+    byte = {letter: value for value, letter in enumerate(byte_letters())}
+    own = {token: i for token, i in vocab.items() if token not in added}
+    if None in merged or merged != sorted(set(merged)) or not all(c in byte for token in own for c in token):
+        return None
+    if any(len(library.model.tokenize(token)) != 1 for token in own):
+        return None  # an entry that merging never reaches, but that a look-up would find
+    ranks = {bytes(map(byte.__getitem__, token)): i for token, i in own.items()}
+    return Encoding("byte-level", pat_str=PIECES, mergeable_ranks=ranks, special_tokens=added)
 
 
 _loaded: dict[int, ByteEncoder] = {}
@@ -212,7 +194,7 @@ def write_store(
     """
     spark = docs.sparkSession
     shared = shared_bytes(spark, vocabulary or tokenizer_file("byte_bpe_50k.json"))
-    end = np.array([end_id], dtype="<u4").tobytes()
+    end = np.array([end_id], dtype="<u4")
 
     def segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         content = shared.value
@@ -221,10 +203,10 @@ def write_store(
         held, names, lengths, size, before = [], [], [], 0, 0
         for batch in batches:
             for known, name, content_text in zip(batch["known"], batch["doc_id"], batch["text"]):
-                ids = encode(content_text) + end
-                held.append(ids)
+                ids = encode(content_text)
+                held += [ids, end]
                 names.append(int(name) if known else None)
-                lengths.append(len(ids) // 4)
+                lengths.append(len(ids) + 1)
                 size += lengths[-1]
                 if size >= segment_tokens:
                     yield one(task, number, before, held, names, lengths, size)
@@ -234,8 +216,7 @@ def write_store(
             yield one(task, number, before, held, names, lengths, size)
 
     def one(task, number, before, held, names, lengths, size) -> pd.DataFrame:
-        ids = np.frombuffer(b"".join(held), dtype="<u4")
-        row = (task, number, before, len(names), size, pack(ids, names, lengths))
+        row = (task, number, before, len(names), size, pack(np.concatenate(held), names, lengths))
         return pd.DataFrame([row], columns=["task", "segment", "before", "n_docs", "n_tokens", "payload"])
 
     named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))

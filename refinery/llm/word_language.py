@@ -7,8 +7,10 @@ is known, and so on down to single characters. The scores of all words of a text
 square root of the number of words, as words of one text are far from independent.
 
 Texts that are null or hold no letter are ``und`` with score 0; so are all texts if nothing
-could be learned. Ties go to the language first in order. Rows are neither dropped nor
-merged.
+could be learned. Ties go to the language first in order. Long texts are read whole. Rows
+are neither dropped nor merged, repeated ones included; an empty table gives an empty one.
+``language_column`` puts its result in place of a column of that name; all other columns may
+have any name.
 """
 
 from __future__ import annotations

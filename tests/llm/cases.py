@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from refinery.llm.common import reach_package
 
-COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, score string, digest string, row string, label string, key int, node int, keys string, n_tokens string, tails string, dense string"
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, score string, digest string, row string, label string, key int, node int, keys string, n_tokens string, tails string, dense string, gone string, ids string, decoded string, language string, toxicity string, id string, stay string, rows string, stays string, payload string"
 
 TEXTS = [
     (1, "The cat sat on the mat, and the dog did not mind it at all."),
@@ -28,7 +28,7 @@ TEXTS = [
 
 def messy(spark: SparkSession) -> DataFrame:
     reach_package(spark)
-    extra = ["a", "b", "c", "d", 1, 2, "e", "f", "g", "h"]
+    extra = ["a", "b", "c", "d", 1, 2, *"efghijklmnopqr"]
     rows = [(i, t, "en" if i and i % 2 else None, f"s{(i or 0) % 3}" if i != 9 else None, None, *extra) for i, t in TEXTS]
     return spark.createDataFrame(rows, COLUMNS)
 

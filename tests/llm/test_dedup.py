@@ -136,12 +136,62 @@ def test_index_outlives_its_declaration(spark):
     assert third.count() == 0 and again.rows().count() == 4
 
 
-def test_index_is_read_without_a_shuffle(spark):
-    index = digest_index.fresh_index(spark)
-    groups = digest_index.batch_groups(messy(spark).select("doc_id", digest_index.text_digest("text").alias("digest")))
-    joined = groups.join(spark.table(index.name).hint("merge"), "digest", "left_anti")
-    plan = joined._jdf.queryExecution().executedPlan().toString()
+def groups_of(docs):
+    return digest_index.batch_groups(docs.select("doc_id", digest_index.text_digest("text").alias("digest")))
+
+
+def test_index_is_read_in_order_and_without_a_shuffle(spark):
+    """Also after several loads: each bucket is one sorted file."""
+    index = digest_index.DigestIndex(spark, scratch_path(spark, "index"), buckets=4)
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), F.col("id") % 200).alias("text"))
+    for load in range(3):
+        index.add(groups_of(docs.filter(F.col("doc_id") % 3 == load)))
+    with index.declared() as name, index.in_order():
+        joined = index.unknown(groups_of(messy(spark)), name)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() > 0
     assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("Sort [digest") == 1 and "Bucketed: true" in plan
+    assert index.files(index.generation()) == 4 and index.rows().count() == 200
+    assert index.rows().select("digest").distinct().count() == 200
+
+
+def test_index_leaves_no_tables_and_remembers_its_buckets(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    folder = scratch_path(spark, "index")
+    digest_index.DigestIndex(spark, folder, buckets=3).add(groups_of(messy(spark)))
+    again = digest_index.DigestIndex(spark, folder)
+    again.add(groups_of(spark.createDataFrame([(1, "new")], "doc_id long, text string")))
+    assert again.buckets == 3 and {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_files_pile_up_to_the_number_allowed(spark):
+    index = digest_index.DigestIndex(spark, scratch_path(spark, "index"), buckets=1, most_files=3)
+    for load in range(5):
+        index.add(groups_of(spark.createDataFrame([(load, f"text {load}"), (9, "same")], "doc_id long, text string")))
+        assert index.rows().count() == load + 2
+    assert index.files(index.generation()) <= 3
+
+
+@pytest.mark.parametrize("loads", [2, 5])
+def test_loads_by_ascending_id_give_the_same_as_one(spark, loads):
+    docs = messy(spark).select("doc_id", "text").unionByName(spark.range(100, 400).selectExpr("id AS doc_id", "concat('t', id % 130) AS text"))
+    index = digest_index.fresh_index(spark)
+    met = []
+    plain = index.add
+    index.add = lambda groups: (met.append(index.rows().count() if met else 0), plain(groups))
+    several = digest_index.decide(index, docs, loads=loads)
+    one = digest_index.decide(digest_index.fresh_index(spark), docs)
+    assert sorted(map(repr, several.collect())) == sorted(map(repr, one.collect()))
+    assert len(met) == loads and met[-1] > 0  # the later loads meet a filled index
+
+
+def test_of_copies_of_one_document_the_least_stays(spark):
+    rows = [(1, "a  b", "z"), (1, "a b", "y"), (1, "a b", "y"), (1, "c", "x"), (2, "c", "w"), (None, "d", "v"), (None, "d", "u"), (3, "a b", "t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for shuffled in (docs, docs.orderBy(F.desc("source")).repartition(4)):
+        stay = sorted(map(tuple, digest_index.drop_copies(shuffled).collect()), key=repr)
+        assert stay == sorted([(1, "a  b", "z"), (1, "c", "x"), (None, "d", "u")], key=repr)
 
 
 def test_awkward_texts_and_copies(spark):

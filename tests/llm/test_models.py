@@ -185,3 +185,110 @@ def test_quality_of_awkward_rows(spark):
 @pytest.mark.parametrize("text", ["", None, "a", "!!! ???", "\n\n", "x " * 3000])
 def test_hashes_of_any_text(text):
     assert len(ordinal_quality.hashed(text)) > 0
+
+
+# Plain versions: every row scored again, one by one, from what was fitted.
+
+
+def plain_tail(model, text, k):
+    """P(grade > k) by the formula, token by token."""
+    tokens = ordinal_quality.hashed(text).tolist()
+    eta = math.fsum(float(model.weights[t]) for t in tokens) / math.sqrt(len(tokens))
+    return 1 / (1 + math.exp(-max(-40, min(40, eta - float(model.thresholds[k])))))
+
+
+def test_quality_rows_against_a_plain_scorer(spark):
+    docs, labels = spark.read.parquet(f"{LARGER}/documents.parquet"), spark.read.parquet(f"{LARGER}/labels.parquet")
+    model = ordinal_quality.learn(docs, labels, ~F.coalesce(samples_fold() == 0, F.lit(False)))
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for r in QUERIES["op4_ordinal_quality"](spark, LARGER).collect():
+        tails = [plain_tail(model, texts[r["doc_id"]], k) for k in range(2)]
+        assert abs(r["tail_prob"] - tails[0]) < 1e-4 and abs(r["expected_grade"] - sum(tails)) < 1e-4
+        assert r["held_out"] == held(r["doc_id"], 5, 0)
+
+
+def samples_fold():
+    from refinery.llm.common import fold
+
+    return fold("doc_id", 5)
+
+
+def test_learning_sees_all_grades_it_is_given(spark):
+    docs = spark.createDataFrame([(i, " ".join(["fine"] * (i % 4) + ["word"] * 5)) for i in range(400)], "doc_id long, text string")
+    labels = labels_for(spark, [(i, i % 4, 0) for i in range(400)])
+    model = ordinal_quality.learn(docs, labels, F.lit(True), grade=F.min("quality"))
+    assert len(model.thresholds) == 3
+    assert len(ordinal_quality.learn(docs, labels, F.lit(True)).thresholds) == 2  # 0 and 2 of label_grade
+    assert ordinal_quality.FIT_ROWS >= 10_000
+
+
+def test_labels_beyond_0_and_1_are_none(spark):
+    docs = spark.createDataFrame([(i, f"you idiot moron {i}" if i % 2 else f"a kind word {i}") for i in range(200)], "doc_id long, text string")
+    labels = labels_for(spark, [(i, 1, i % 2) for i in range(200)] + [(3, 1, 7), (4, 1, -1), (6, 5, 2)])
+    model = boosted_toxicity.learn(docs, labels, F.lit(True))
+    assert model.trees is not None
+    scores = {r["doc_id"]: r["toxicity"] for r in model.score(docs).collect()}
+    assert min(scores[i] for i in range(1, 200, 2)) > max(scores[i] for i in range(0, 200, 2))
+
+
+def plain_tree(node, x):
+    while hasattr(node, "subtreeDepth") and node.subtreeDepth() > 0:
+        split = node.split()
+        node = node.leftChild() if x[split.featureIndex()] <= split.threshold() else node.rightChild()
+    return node.prediction()
+
+
+def plain_steps(steps, raw):
+    """Isotonic regression by its boundaries: straight lines between them."""
+    boundaries, values = steps.boundaries.toArray(), steps.predictions.toArray()
+    return float(np.interp(raw, boundaries, values))
+
+
+def test_toxicity_rows_against_a_plain_scorer(spark):
+    docs, labels = spark.read.parquet(f"{LARGER}/documents.parquet"), spark.read.parquet(f"{LARGER}/labels.parquet")
+    model = boosted_toxicity.learn(docs, labels, F.lit(True))
+    features = boosted_toxicity.ToxicFeatures(model.lexicon)
+    trees = [(weight, tree._java_obj.rootNode()) for weight, tree in zip(model.trees.treeWeights, model.trees.trees)]
+    rows = docs.filter("doc_id % 7 = 0").select("doc_id", "text")
+    for r in model.score(rows).collect():
+        x = features(r["text"])
+        margin = sum(weight * plain_tree(root, x) for weight, root in trees)
+        raw = 1 / (1 + math.exp(-2 * margin))
+        assert abs(r["toxicity"] - (0.999 * plain_steps(model.steps, raw) + 0.001 * raw)) < 1e-9
+
+
+def plain_language(counts, totals, keys, text):
+    """Words by their counts, unseen ones by ever shorter n-grams, from plain dictionaries."""
+    languages = sorted(totals[0])
+    words = word_language.WORD.findall((text or "").lower())
+    if not any(any(map(str.isalpha, w)) for w in words):
+        return "und", 0.0
+    log = lambda size, key, lang: math.log((counts.get((size, key, lang), 0) + 0.5) / (totals[size].get(lang, 0) + 0.5 * len(keys[size]) + 1))
+    total = [0.0] * len(languages)
+    for word in words:
+        found = [(0, word)] if word in keys[0] else []
+        for size in range(4, 0, -1):
+            found = found or [(size, g) for g in word_language.grams(word, size) if g in keys[size]]
+        for i, lang in enumerate(languages):
+            total[i] += math.fsum(log(size, g, lang) for size, g in found) / len(found) if found else 0.0
+    scaled = [t / math.sqrt(len(words)) for t in total]
+    best = max(range(len(languages)), key=lambda i: (scaled[i], -i))
+    return languages[best], 1 / math.fsum(math.exp(s - scaled[best]) for s in scaled)
+
+
+def test_language_rows_against_a_plain_scorer(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    counts, totals, keys = {}, [{} for _ in range(5)], [set() for _ in range(5)]
+    for r in docs.collect():
+        if held(r["doc_id"], 4, 2) or r["lang"] is None or r["text"] is None:
+            continue
+        for word in word_language.WORD.findall(r["text"].lower()):
+            for size in range(5):
+                for key in [word] if size == 0 else word_language.grams(word, size):
+                    counts[size, key, r["lang"]] = counts.get((size, key, r["lang"]), 0) + 1
+                    totals[size][r["lang"]] = totals[size].get(r["lang"], 0) + 1
+                    keys[size].add(key)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for r in word_language.language_report(docs).collect():
+        language, score = plain_language(counts, totals, keys, texts[r["doc_id"]])
+        assert r["lang_pred"] == language and abs(r["score"] - score) < 1e-6

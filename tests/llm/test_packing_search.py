@@ -95,10 +95,11 @@ def test_search_query(spark):
 
 
 def plain_search(rows, every, k):
-    whole = {i: [int(np.floor(v * 64)) for v in x] for i, x in rows}
+    whole = [(i, [int(np.floor(v * 64)) for v in x]) for i, x in rows]
     out = []
-    for q in sorted(i for i in whole if i % every == 0):
-        scores = sorted((-int(np.dot(whole[q], whole[c])), c) for c in whole if c != q and len(whole[c]) == len(whole[q]))
+    for q in sorted({i for i, _ in whole if i % every == 0}):
+        own = [x for i, x in whole if i == q]
+        scores = sorted((-int(np.dot(x, y)), c) for x in own for c, y in whole if c != q and len(y) == len(x))
         out += [(q, at + 1, c, -s) for at, (s, c) in enumerate(scores[:k])]
     return out
 
@@ -119,11 +120,24 @@ def test_search_of_awkward_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 2.0]), (20, [3.0, -1.0]), (1, [nan, 1.0]), (2, [inf, 1.0]), (3, [None, 1.0]), (4, None), (None, [1.0, 1.0]), (5, [1.0]), (6, [0.25, 0.3]), (7, [9e5, 9e5]), (7, [9e5, 9e5]), (40, [])]
     vectors = spark.createDataFrame([(*r, 1, 2) for r in rows], "vec_id long, embedding array<double>, score int, dim int")
-    usable = [(0, [1.0, 2.0]), (20, [3.0, -1.0]), (5, [1.0]), (6, [0.25, 0.3]), (7, [9e5, 9e5]), (40, [])]
+    usable = [(0, [1.0, 2.0]), (20, [3.0, -1.0]), (5, [1.0]), (6, [0.25, 0.3]), (7, [9e5, 9e5]), (7, [9e5, 9e5]), (40, [])]
     assert sorted(map(tuple, ball_tree.top_k(vectors).collect())) == sorted(plain_search(usable, 20, 20))
     assert ball_tree.top_k(vectors.limit(0)).count() == 0
 
 
+def test_rows_that_share_an_id_are_each_a_candidate(spark, tmp_path):
+    rows = [(0, [1.0, 1.0]), (1, [1.0, 0.0]), (1, [5.0, 5.0]), (1, [5.0, 5.0]), (2, [2.0, 2.0]), (20, [1.0, -1.0]), (20, [-1.0, 1.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = ball_tree.top_k(vectors, k=20)
+    assert [tuple(r) for r in found.filter("query_id = 0 AND rank <= 3").orderBy("rank").collect()] == [(0, 1, 1, 40960), (0, 2, 1, 40960), (0, 3, 2, 16384)]
+    vectors.coalesce(1).write.parquet(f"{tmp_path}/e")
+    import duckdb
+
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/e/*.parquet'")
+    assert difference(found, connection, ORACLES["op5_ball_tree"]) == ""
+
+
 def test_bounds_prune(monkeypatch):
     """On clustered vectors most leaves are never read."""
     source = np.random.RandomState(2)

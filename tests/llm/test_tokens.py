@@ -150,3 +150,58 @@ def test_no_rows(spark):
     assert piece_count.count_report(none).count() == 0
     assert rank_bpe.coding_report(none).count() == 0
     assert token_store.roundtrip(none).count() == 0
+
+
+def test_memos_are_bounded_in_bytes():
+    """Texts without spaces, as in Chinese, are not kept; nor do short words pile up."""
+    source = random.Random(1)
+    texts = ["".join(chr(source.randrange(0x4E00, 0x9FA5)) for _ in range(source.choice((40, 2000)))) for _ in range(5000)]
+    counter, coder = piece_count.PieceCounter(content("piece_bpe_32k.model")), rank_bpe.RankCoder(content("word_bpe_49k.json"))
+    memos = [counter.word, coder.word, coder.chunk, coder.both]
+    for memo in memos:
+        memo.budget = memo.room = 200_000
+    for text in texts:
+        counter(text), coder.encode(text), coder.coded(text)
+        for memo in memos:
+            assert sum(4 * len(k) + 160 + memo.size(v) for k, v in memo.items()) <= 200_000
+    assert all(len(k) <= 64 for memo in memos for k in memo)
+
+
+def test_coded_texts_are_ids_and_their_decoding(texts):
+    coder = rank_bpe.RankCoder(content("word_bpe_49k.json"))
+    for text in [None, *texts]:
+        ids = coder.encode(text)
+        assert coder.coded(text) == (len(ids), " ".join(map(str, ids)), coder.decode(ids))
+
+
+def test_other_vocabularies_are_refused():
+    import json
+
+    spec = json.loads(content("word_bpe_49k.json"))
+    for change in ({"normalizer": None}, {"decoder": {"type": "ByteLevel"}}, {"pre_tokenizer": {"type": "Whitespace"}}):
+        with pytest.raises(ValueError, match="only vocabularies"):
+            rank_bpe.RankCoder(json.dumps(spec | change).encode())
+    with pytest.raises(ValueError, match="only vocabularies"):
+        rank_bpe.RankCoder(content("byte_bpe_50k.json"))
+
+
+def test_plain_byte_files_go_to_the_quick_coder_and_others_to_the_library(texts):
+    import json
+
+    spec = json.loads(content("byte_bpe_50k.json"))
+    assert token_store.ByteEncoder(content("byte_bpe_50k.json")).coder is not None
+    spec["pre_tokenizer"]["add_prefix_space"] = True
+    other = token_store.ByteEncoder(json.dumps(spec).encode())
+    assert other.coder is None
+    library = Tokenizer.from_str(json.dumps(spec))
+    for text in texts[:40]:
+        assert other(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_a_column_of_the_target_name_is_replaced(spark):
+    docs = messy(spark).select("doc_id", "text", "n_tokens", "ids", "decoded")
+    counted = piece_count.count_tokens(docs)
+    assert counted.columns.count("n_tokens") == 1 and dict(counted.dtypes)["n_tokens"] == "bigint"
+    both = rank_bpe.decode_column(rank_bpe.encode_column(docs))
+    assert dict(both.dtypes)["ids"] == "array<int>" and both.filter("decoded = 'k'").count() == 0
+    assert [r["n_tokens"] for r in both.select("n_tokens").distinct().collect()] == ["f"]
