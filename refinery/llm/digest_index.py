@@ -108,20 +108,26 @@ class DigestIndex:
 
     @contextmanager
     def in_order(self) -> Iterator[None]:
-        """Let Spark rely on the order of buckets that are one file, while this block runs."""
-        key = "spark.sql.legacy.bucketedTableScan.outputOrdering"
-        before = self.spark.conf.get(key)
-        self.spark.conf.set(key, "true")
+        """While this block runs, Spark reads a table of buckets a bucket a task, and relies
+        on the order of buckets that are one file."""
+        settings = {
+            "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
+            "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false",
+        }
+        before = {key: self.spark.conf.get(key) for key in settings}
+        for key, value in settings.items():
+            self.spark.conf.set(key, value)
         try:
             yield
         finally:
-            self.spark.conf.set(key, before)
+            for key, value in before.items():
+                self.spark.conf.set(key, value)
 
     def compact(self) -> None:
         """Merge the files of each bucket into one, in the next folder; the old one goes last."""
         at = self.generation()
         delete(self.spark, self.folder(at + 1))  # what a lost compaction has left
-        with self.declared(at) as old, self.declared(at + 1) as new:
+        with self.declared(at) as old, self.declared(at + 1) as new, self.in_order():
             self.write(self.spark.table(old), new)
         delete(self.spark, self.folder(at))
 
