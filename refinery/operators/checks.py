@@ -92,13 +92,17 @@ def loses(kind: DataType, column: Column, cast: Column) -> Column:
     return F.coalesce(cast.isNotNull() & ~back.eqNullSafe(column), F.lit(False))
 
 
-def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """The number of rows of each table, by name."""
+def table_counts(tables: Mapping[str, DataFrame | Sequence[DataFrame]]) -> DataFrame:
+    """The number of rows of each table, by name; a table may be given in parts, which are
+    counted apart, as only then footers of Parquet files can tell."""
     counts = [
         df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "rows")
-        for name, df in tables.items()
+        for name, parts in tables.items()
+        for df in ([parts] if isinstance(parts, DataFrame) else parts)
     ]
-    return reduce(DataFrame.unionByName, counts)
+    if len(counts) == len(tables):
+        return reduce(DataFrame.unionByName, counts)
+    return reduce(DataFrame.unionByName, counts).groupBy("table").agg(F.sum("rows").alias("rows"))
 
 
 def dim_key_conflicts(clean: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:

@@ -93,15 +93,24 @@ def geo_zone(region: Column | str, zones: Mapping[str, str] = GEO_ZONES) -> Colu
 
 
 def dim_region(
-    clean: DataFrame, zones: Mapping[str, str] = GEO_ZONES, registry: str | None = None
+    clean: DataFrame, zones: Mapping[str, str] | DataFrame = GEO_ZONES, registry: str | None = None
 ) -> DataFrame:
+    """One row per region. ``zones`` is a mapping, which travels as a literal, or a table
+    (region_name, geo_zone) of any size, which is joined; of several zones of one region the
+    first in order counts."""
     regions = distinct_regions(clean)
     if registry:
         numbered = stable_key(materialize(regions, "regions"), "region_name", "region_sk", registry)
     else:
         numbered = dense_key(regions, "region_name", "region_sk")
+    if isinstance(zones, DataFrame):
+        known = zones.groupBy(F.col("region_name").alias("_name")).agg(F.min("geo_zone").alias("_zone"))
+        numbered = numbered.join(known, F.col("region_name") == F.col("_name"), "left")
+        zone = F.coalesce("_zone", F.lit(NO_ZONE))
+    else:
+        zone = geo_zone(F.col("region_name"), zones)
     return numbered.withColumns(
-        {"region_code": F.upper("region_name"), "geo_zone": geo_zone(F.col("region_name"), zones)}
+        {"region_code": F.upper("region_name"), "geo_zone": zone}
     ).select(*DIM_REGION.names)
 
 

@@ -361,6 +361,16 @@ def dim_region(spark: SparkSession, folder: str) -> DataFrame:
     return dimensions.dim_region(_refined(spark, folder))
 
 
+def dim_region_by_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Zones from a table: of the regions that nations of a place lie in, the first by name."""
+    clean = _stored(spark, folder)
+    nations, regions = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("nation", "region"))
+    names = F.array(*map(F.lit, ["north", "south", "east", "west", "central", "northeast", "northwest", "southeast", "southwest"]))
+    place = F.get(names, (F.col("n_nationkey") % 10).cast("int"))
+    zones = nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
+    return dimensions.dim_region(clean, zones.select(place.alias("region_name"), F.col("r_name").alias("geo_zone")))
+
+
 def distinct_regions(spark: SparkSession, folder: str) -> DataFrame:
     return dimensions.distinct_regions(_refined(spark, folder))
 
@@ -501,6 +511,6 @@ QUERIES: dict[str, Query] = {
         quality_summary, layer_counts, check_orphans, dim_key_conflicts, check_contract,
         dim_customer_stable, quarantine_rejects, scan_new_files, incremental_upsert_version,
         quarter_by_calendar, join_customer_bucketed, customer_history, fact_as_of,
-        table_fingerprint,
+        table_fingerprint, dim_region_by_table,
     ]
 } | {"refine": refined}

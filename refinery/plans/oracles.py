@@ -456,4 +456,13 @@ ORACLES: dict[str, str] = {
     "customer_history": _clean(f", {_HISTORY} SELECT * FROM history", _MOVED),
     "fact_as_of": _as_of(),
     "table_fingerprint": _fingerprint(),
+    "dim_region_by_table": _clean(
+        f""", {_DIM_REGION}, zones AS (
+          SELECT CASE n_nationkey % 10 WHEN 0 THEN 'north' WHEN 1 THEN 'south' WHEN 2 THEN 'east'
+              WHEN 3 THEN 'west' WHEN 4 THEN 'central' WHEN 5 THEN 'northeast' WHEN 6 THEN 'northwest'
+              WHEN 7 THEN 'southeast' WHEN 8 THEN 'southwest' END AS region_name, min(r_name) AS zone
+          FROM nation JOIN region ON r_regionkey = n_regionkey GROUP BY 1)
+        SELECT region_sk, region_name, region_code, coalesce(zone, 'Unknown Zone') AS geo_zone
+        FROM dim_region LEFT JOIN zones USING (region_name)"""
+    ),
 }

@@ -1,0 +1,231 @@
+"""Keys that stay, history, and lookups that read or move less: plans and edge cases."""
+
+from __future__ import annotations
+
+from concurrent.futures import ThreadPoolExecutor
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from refinery.operators import checks, dimensions, fact, history, publish
+from refinery.operators.keys import stable_key
+from refinery.plans import catalog, pipeline
+from refinery.plans.refine import refine
+from refinery.schemas import CLEAN, PARTITION_COLUMNS
+from refinery.session import counting_session, materialize, scratch_path
+from refinery.sources import versions
+from refinery.sources.files import read_table
+from tests.conftest import TABLES, plan_of, rows_of
+from tests.test_cleaning import raw_frame
+from tests.test_publish import AT
+
+
+def ids(spark, *values):
+    return spark.createDataFrame([(v,) for v in values], "id string")
+
+
+def numbers(spark, path, *values):
+    return dict(map(tuple, stable_key(ids(spark, *values), "id", "sk", path).select("id", "sk").collect()))
+
+
+# Keys
+
+
+def test_numbers_stay_and_are_never_used_again(spark, tmp_path):
+    path = f"{tmp_path}/keys"
+    assert numbers(spark, path, "b", "a", "b", None) == {None: 1, "a": 2, "b": 3}
+    assert numbers(spark, path, "c", "0", "b") == {"b": 3, "0": 4, "c": 5}  # a and null have vanished
+    assert numbers(spark, path) == {}
+    assert numbers(spark, path, "a", "d", None) == {None: 1, "a": 2, "d": 6}
+    assert versions.current(spark, path).number == 3  # a load without new ids writes nothing
+
+
+def test_a_load_that_fails_takes_no_numbers(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/keys"
+    numbers(spark, path, "a")
+    with monkeypatch.context() as patch:
+        patch.setattr(versions, "_commit", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            numbers(spark, path, "b", "c")
+    assert numbers(spark, path, "z") == {"z": 2}
+
+
+def test_loads_at_once_number_each_id_once(spark, tmp_path):
+    path = f"{tmp_path}/keys"
+    loads = [[f"k{i}" for i in range(n, n + 6)] for n in (0, 3, 6)]
+    with ThreadPoolExecutor(3) as pool:
+        found = list(pool.map(lambda values: numbers(spark, path, *values), loads))
+    merged = {}
+    for one in found:
+        assert all(merged.setdefault(k, v) == v for k, v in one.items())
+    assert sorted(merged.values()) == list(range(1, 13))
+
+
+def test_the_registry_is_merged_as_it_grows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(versions, "MAX_FOLDERS", 4)
+    path = f"{tmp_path}/keys"
+    for i in range(9):
+        assert numbers(spark, path, f"k{i}", "k0") == {f"k{i}": i + 1, "k0": 1}
+        assert len(versions.current(spark, path).folders()) <= 4
+
+
+def test_a_star_schema_keeps_its_keys(spark, tmp_path):
+    clean, star, registry = (f"{tmp_path}/{x}" for x in ("clean", "star", "keys"))
+    first = [{"order_id": "A", "customer_id": "K5"}, {"order_id": "B", "customer_id": "K7"}]
+    later = [{"order_id": "A", "customer_id": "K7"}, {"order_id": "C", "customer_id": "K1"}]
+    keys = []
+    for orders in (first, later):
+        publish.publish(refine(raw_frame(spark, *orders), AT), CLEAN, clean, PARTITION_COLUMNS)
+        tables = pipeline.star_layer(spark, clean, star, AT, registry=registry)
+        keys.append(dict(map(tuple, tables["dim_customer"].select("customer_id", "customer_sk").collect())))
+        assert tables["fact_sales"].filter("customer_sk IS NULL OR product_sk IS NULL OR region_sk IS NULL").count() == 0
+    assert keys == [{"K5": 1, "K7": 2}, {"K1": 3, "K7": 2}]
+
+
+def test_versions_of_an_id_share_its_lasting_number(spark, tmp_path):
+    rows = refine(raw_frame(spark, {"order_id": "A", "region": "x"}, {"order_id": "B", "region": "y"}), AT)
+    found = dimensions.dim_customer(rows, all_versions=True, registry=f"{tmp_path}/keys")
+    assert found.count() == 2 and found.select("customer_sk").distinct().count() == 1
+
+
+# Zones
+
+
+def test_zones_from_a_table_of_any_size(spark):
+    rows = refine(raw_frame(spark, *[{"order_id": r, "region": r} for r in ("north", "south", "moon")]), AT)
+    zones = spark.createDataFrame([("north", "N"), ("north", "M"), ("south", None), ("west", "W")], "region_name string, geo_zone string")
+    found = dimensions.dim_region(materialize(rows, "clean"), zones)
+    assert {(r["region_name"], r["geo_zone"]) for r in found.collect()} == {("north", "M"), ("south", "Unknown Zone"), ("moon", "Unknown Zone")}
+
+
+# History
+
+
+def seen(spark, *rows):
+    return spark.createDataFrame([(k, a, d and date(2024, 1, d)) for k, a, d in rows], "k string, a string, order_date date")
+
+
+def test_stretches_of_days(spark):
+    rows = seen(
+        spark, ("x", "one", 1), ("x", "one", 3), ("x", "two", 5), ("x", "one", 9), ("x", None, 9), ("x", "two", None),
+        ("y", "only", None), ("y", "other", None), ("z", None, 2), ("z", "later", 4), (None, "n", 1),
+    )
+    found = {tuple(r) for r in history.history(rows, "k", ["a"]).collect()}
+    day = lambda d: date(2024, 1, d)
+    assert found == {
+        ("x", "one", 1, day(1), day(4)), ("x", "two", 2, day(5), day(8)), ("x", "one", 3, day(9), None),
+        ("y", "other", 1, None, None), ("z", None, 1, day(2), day(3)), ("z", "later", 2, day(4), None), (None, "n", 1, day(1), None),
+    }
+
+
+def test_a_lookup_by_date_gives_one_row(spark):
+    rows = seen(spark, ("x", "one", 3), ("x", "two", 5), ("y", "only", None))
+    asked = seen(spark, ("x", "", 1), ("x", "", 3), ("x", "", 4), ("x", "", 5), ("x", "", 30), ("x", "", None), ("y", "", 7), ("y", "", None), ("q", "", 2), (None, "", 2))
+    found = history.as_of(asked.drop("a"), history.history(rows, "k", ["a"]), "k", ["a", "version"])
+    assert found.columns == ["k", "order_date", "a", "version"] and found.count() == asked.count()
+    by = {(r["k"], r["order_date"] and r["order_date"].day): r["a"] for r in found.collect()}
+    assert by == {("x", 1): "one", ("x", 3): "one", ("x", 4): "one", ("x", 5): "two", ("x", 30): "two", ("x", None): "two", ("y", 7): "only", ("y", None): "only", ("q", 2): None, (None, 2): None}
+
+
+def test_all_versions_multiply_where_a_lookup_by_date_does_not(spark):
+    clean = materialize(catalog._refined(spark, TABLES, "moved"), "clean")
+    every = dimensions.dim_customer(clean, all_versions=True)
+    assert fact.with_customer_key(clean, every).count() > clean.count()
+    assert catalog.fact_as_of(spark, TABLES).count() == clean.count()
+
+
+def test_a_hot_customer_is_one_row_a_day_before_the_window(spark):
+    plan = plan_of(history.history(seen(spark, ("x", "a", 1)), "k", ["a"]))
+    tree = plan.split("\n\n")[0]
+    assert "partial_max" in plan and tree.index("Window") < tree.index("HashAggregate" if "HashAggregate" in tree else "SortAggregate")
+
+
+# Plans
+
+
+def test_the_calendar_chooses_the_partitions(spark):
+    found = catalog.quarter_by_calendar(spark, TABLES)
+    assert "dynamicpruning" in plan_of(found)
+    found.collect()
+    read = partitions_read(found)
+    assert read and max(read) <= 4  # months of one quarter, of more than 70
+
+
+def partitions_read(df) -> list[int]:
+    """The metric of every partitioned scan of the plan that ran."""
+    return scan_metrics(df, "numPartitions")
+
+
+def scan_metrics(df, name: str) -> list[int]:
+    found, left = [], [df._jdf.queryExecution().executedPlan()]
+    while left:
+        node = left.pop()
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            left.append(node.executedPlan())
+        if hasattr(node, "plan") and "QueryStage" in node.getClass().getSimpleName():
+            left.append(node.plan())
+        children = node.children()
+        left += [children.apply(i) for i in range(children.size())]
+        metric = node.metrics().get(name)
+        if metric.isDefined() and "Scan" in node.nodeName():
+            found.append(metric.get().value())
+    return found
+
+
+def test_tables_bucketed_alike_are_joined_where_they_lie(spark):
+    tree = plan_of(catalog.join_customer_bucketed(spark, TABLES)).split("\n\n")[0]
+    assert "SortMergeJoin" in tree and "Exchange" not in tree
+
+
+def test_rows_are_counted_from_footers(spark, tmp_path):
+    clean = f"{tmp_path}/clean"
+    rows = refine(raw_frame(spark, *[{"order_id": f"O{i}", "order_date": f"2024-0{1 + i % 3}-01"} for i in range(30)]), AT)
+    publish.publish_version(rows, CLEAN, clean, PARTITION_COLUMNS)
+    publish.upsert_version(spark, clean, CLEAN, rows.limit(1).withColumn("order_id", F.lit("more")))
+    parts = versions.read_parts(counting_session(spark), clean, CLEAN)
+    counted = checks.table_counts({"clean": parts})
+    assert len(parts) == 2 and plan_of(counted).count("PushedAggregation: [COUNT(*)]") == 2
+    assert rows_of(counted) == [("clean", 31)] == rows_of(checks.table_counts({"clean": read_table(spark, clean, CLEAN)}))
+    assert plan_of(catalog.table_counts(spark, TABLES)).count("PushedAggregation: [COUNT(*)]") == 5
+
+
+def test_a_small_batch_reads_few_row_groups(spark, tmp_path):
+    """Keys are sorted in each file and have filters: a look for ten skips most row groups."""
+    path = f"{tmp_path}/t"
+    many = spark.range(60_000).select(
+        F.format_string("ORD%08d", F.col("id") * 7919 % 1_000_003).alias("order_id"), F.lit("K").alias("customer_id"), F.lit("P").alias("product_id"),
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in CLEAN if f.name not in ("order_id", "customer_id", "product_id", "processed_at", *PARTITION_COLUMNS)],
+        F.lit(2024).alias("order_year"), F.lit(1).alias("order_month"), F.lit(AT).cast("timestamp").alias("processed_at"),
+    ).select(*CLEAN.names)
+    small = {"parquet.block.size": "20000", "parquet.page.row.count.limit": "500"}
+    write = publish.write_table
+    try:
+        publish.write_table = lambda *a, **k: write(*a, **k, **small)
+        table = publish.publish_version(many, CLEAN, path, PARTITION_COLUMNS, ["order_id"], ["order_id"])
+    finally:
+        publish.write_table = write
+    ten = [r["order_id"] for r in table.select("order_id").orderBy(F.xxhash64("order_id")).limit(10).collect()]
+    look = table.filter(F.col("order_id").isin(ten)).select("order_id")
+    assert len(look.collect()) == 10
+    (read,) = scan_metrics(look, "numOutputRows")
+    assert 10 <= read < 60_000 / 4
+    batch = table.filter(F.col("order_id").isin(ten)).withColumn("status", F.lit("late")).withColumn("processed_at", F.col("processed_at") + F.expr("INTERVAL 1 DAY"))
+    newest, left = publish.probe(table, materialize(batch, "batch"), ["order_id", "product_id"], "processed_at", publish._folder(PARTITION_COLUMNS))
+    assert newest.count() == 10 and left == ["order_year=2024/order_month=1"]
+    merged = publish.upsert_version(spark, path, CLEAN, batch)
+    assert merged.count() == 60_000 and merged.filter("status = 'late'").count() == 10
+
+
+def test_a_large_batch_names_no_keys(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(publish, "NAMED_KEYS", 2)
+    rows = refine(raw_frame(spark, *[{"order_id": f"O{i}"} for i in range(5)]), AT)
+    table = publish.publish_version(rows, CLEAN, f"{tmp_path}/t", PARTITION_COLUMNS)
+    later = rows.withColumn("processed_at", F.col("processed_at") + F.expr("INTERVAL 1 DAY"))
+    newest, left = publish.probe(table, later, ["order_id", "product_id"], "processed_at", publish._folder(PARTITION_COLUMNS))
+    assert newest.count() == 5 and len(left) == 1
+    older = rows.withColumn("processed_at", F.col("processed_at") - F.expr("INTERVAL 1 DAY"))
+    newest, left = publish.probe(table, older, ["order_id", "product_id"], "processed_at", publish._folder(PARTITION_COLUMNS))
+    assert newest.count() == 0 and left == []
+    assert rows_of(table.select("order_id")) == [(f"O{i}",) for i in range(5)]
+    assert scratch_path(spark, "x")
