@@ -13,10 +13,13 @@ collections, which texts of similarity 0.85 fail to do once in 30,000 pairs, and
    others are paired.
 3. In each table, texts are tied through the smallest id of their bucket, not to one
    another. What hangs together through such ties is a cluster of candidates.
-4. In a cluster every text is compared with every other on full sets of shingles, inside
-   tasks: clusters are cut into blocks of texts, and each pair of blocks is one piece of
-   work, which yields at most one link for each of its texts: enough for the components.
-   So no bucket is capped, and no pairs are written out.
+4. In a cluster texts are compared on full sets of shingles, inside tasks; a piece of work
+   yields at most one link for each of its texts: enough for the components. Small clusters
+   are compared whole. In a large one each text is first compared with its heads and with a
+   few texts of the largest group so far, which links most near copies in steps that grow
+   with their number; then all texts of unlike groups are compared, in pairs of blocks. So
+   no bucket is capped, no pairs of texts are written out, and the square of a cluster's size
+   is only paid for texts that hang together by candidates alone.
 5. Components of those links are the groups.
 
 Words are what stands between the characters ``[\\x20\\x09-\\x0D]``, with A-Z lower-cased. A
@@ -34,7 +37,7 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from refinery.llm.components import components
@@ -42,6 +45,7 @@ from refinery.session import materialize
 
 SUBKEYS, JOINED = 16, 4
 BLOCK = 384  # texts of a cluster that are compared with as many others at a time
+ROUNDS, PIVOTS = 2, 64  # times that the largest group of a cluster is looked to, and with how many texts
 PACK = 512  # texts of small clusters that share a piece of work, about
 WEIGHT = 1 << 21  # shingles in a block or pack, about: long texts make for fewer of them
 COLUMNS = 2048  # shingles that are compared at a time
@@ -165,45 +169,130 @@ def linked(sets: list[np.ndarray], nodes: np.ndarray, percent: int) -> list[tupl
         low = lower
 
 
-def verified_links(docs: DataFrame, clusters: DataFrame, words: int, percent: int) -> DataFrame:
+def verified_links(docs: DataFrame, clusters: DataFrame, ties: DataFrame, words: int, percent: int) -> DataFrame:
     """Links (a, b) that hold the components of ``clusters`` (node, n_shingles, cluster) on
     full sets.
 
     A cluster of at most ``BLOCK`` texts and ``WEIGHT`` shingles is compared at once, with
-    others of its like in one piece of work. A larger one is cut into blocks by a hash, and
-    each pair of blocks is a piece of work of its own.
+    others of its like in one piece of work. In a larger one most texts are linked through
+    few comparisons: with the heads they are tied to, and then with texts of the largest
+    group so far. What these links hold together needs no more comparing, and only texts of
+    unlike groups are compared with one another, block by block (``apart_links``).
     """
     sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), F.sum("n_shingles").alias("weight"))
-    total = clusters.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("n_shingles"), F.lit(0)).alias("weight")).first()
-    packs = max(1, -(-total["n"] // PACK), -(-total["weight"] // WEIGHT))
-    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("weight") / WEIGHT)).cast("int")
-    work = clusters.join(sizes, "cluster").select(
-        "node",
-        "cluster",
-        blocks.alias("blocks"),
-        F.pmod(F.xxhash64("node"), blocks).cast("int").alias("own"),
-    )
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    work = work.select("node", "cluster", "blocks", "own", other).select(
-        "node",
-        "cluster",
-        F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("cluster"), F.lit(packs))).otherwise(F.col("cluster")).alias("key"),
-        F.when(F.col("blocks") == 1, -1).otherwise(F.least("own", "other")).alias("low"),
-        F.when(F.col("blocks") == 1, -1).otherwise(F.greatest("own", "other")).alias("high"),
-    )
-    work = materialize(work, "comparisons")
+    sizes = sizes.select("cluster", blocks_for("size", "weight").alias("blocks"))
+    sized = materialize(clusters.join(sizes, "cluster"), "sized-clusters")
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").filter("node IS NOT NULL")
     texts = texts.join(materialize(clusters.select("node"), "candidates"), "node", "left_semi")
     texts = materialize(texts, "candidate-texts")
 
+    small = sized.filter("blocks = 1")
+    total = small.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("n_shingles"), F.lit(0)).alias("weight")).first()
+    key = F.pmod(F.xxhash64("cluster"), F.lit(max(1, -(-total["n"] // PACK), -(-total["weight"] // WEIGHT))))
+    found = compared(small.select(F.struct(key.alias("pack")).alias("piece"), F.col("cluster").alias("part"), "node"), texts, words, percent)
+    large = sized.filter("blocks > 1").select("node", "n_shingles", "cluster")
+    if large.isEmpty():
+        return found
+    links = materialize(tie_links(large, ties, texts, words, percent), "links")
+    for _ in range(ROUNDS):
+        links = materialize(links.unionByName(pivot_links(grouped(large, links), texts, words, percent)), "links")
+    return found.unionByName(links).unionByName(apart_links(grouped(large, links), texts, words, percent))
+
+
+def blocks_for(size: str, weight: str) -> Column:
+    return F.greatest(F.ceil(F.col(size) / BLOCK), F.ceil(F.col(weight) / WEIGHT), F.lit(1)).cast("int")
+
+
+def block_of(blocks: Column | str, of: str = "node") -> Column:
+    return F.pmod(F.xxhash64(of), F.col(blocks) if isinstance(blocks, str) else blocks).cast("int")
+
+
+def compared(work: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links among the texts of each part of each piece of ``work`` (piece, part, node)."""
+
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
         found: list[tuple[int, int]] = []
-        for _, own in rows.groupby("cluster", sort=False):
+        for _, own in rows.groupby("part", sort=False):
             sets = [shingles(t, words) for t in own["text"]]
             found += linked(sets, own["node"].to_numpy(), percent)
         return pd.DataFrame(found, columns=["a", "b"])
 
-    return work.join(texts, "node").groupBy("key", "low", "high").applyInPandas(compare, "a long, b long")
+    named = materialize(work.select("piece", "part", "node"), "comparisons")
+    return named.join(texts, "node").groupBy("piece").applyInPandas(lambda rows: compare(rows), "a long, b long")
+
+
+def grouped(large: DataFrame, links: DataFrame) -> DataFrame:
+    """``large`` with the group that ``links`` put each text in."""
+    groups = components(links).select(F.col("node").alias("of"), "component")
+    named = large.join(groups, F.col("node") == F.col("of"), "left")
+    return materialize(named.select("node", "n_shingles", "cluster", F.coalesce("component", "node").alias("own")), "grouped")
+
+
+def tie_links(large: DataFrame, ties: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links along the ties: each text against its heads, with a head that very many are tied
+    to in one piece for each block of them."""
+    own = ties.join(large.select(F.col("node").alias("b"), "n_shingles"), "b")
+    sizes = own.groupBy("a").agg(F.count(F.lit(1)).alias("size"), F.sum("n_shingles").alias("weight"))
+    sizes = materialize(sizes.select("a", blocks_for("size", "weight").alias("blocks")), "heads-of-ties")
+    tied = own.join(sizes, "a").select("a", "blocks", block_of("blocks", "b").alias("block"), F.col("b").alias("node"))
+    heads = sizes.select("a", "blocks", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("a").alias("node"))
+    both = tied.unionByName(heads)
+    packs = max(1, -(-own.count() // PACK))
+    alone = F.struct(F.col("a").alias("head"), F.col("block"))
+    packed = F.struct(F.pmod(F.xxhash64("a"), F.lit(packs)).alias("head"), F.lit(-1).alias("block"))
+    piece = F.when(F.col("blocks") == 1, packed).otherwise(alone)
+    return compared(both.select(piece.alias("piece"), F.col("a").alias("part"), "node"), texts, words, percent)
+
+
+def leading(groups: DataFrame) -> DataFrame:
+    """The largest group of each cluster that has several, and how many other texts it has."""
+    sizes = groups.groupBy("cluster", "own").agg(F.count(F.lit(1)).alias("size"), F.sum("n_shingles").alias("weight"))
+    first = F.max(F.struct("size", -F.col("own"), "weight")).alias("first")
+    found = sizes.groupBy("cluster").agg(first, F.sum("size").alias("all"), F.sum("weight").alias("total"))
+    found = found.select("cluster", (-F.col("first.col2")).alias("lead"), F.col("first.size").alias("size"), (F.col("all") - F.col("first.size")).alias("others"), (F.col("total") - F.col("first.weight")).alias("weight"))
+    return materialize(found.filter("others > 0"), "leading")
+
+
+def pivot_links(groups: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links between the texts outside the largest group of their cluster, in blocks, and
+    about ``PIVOTS`` texts of that group, chosen by a hash."""
+    lead = leading(groups).withColumn("blocks", blocks_for("others", "weight"))
+    named = groups.join(lead, "cluster")
+    outside = named.filter("own <> lead").select("cluster", block_of("blocks").alias("block"), "node")
+    step = F.ceil(F.col("size") / PIVOTS).cast("int")
+    pivots = named.filter("own = lead").filter(F.pmod(F.xxhash64("node", F.lit("pivot")), step) == 0)
+    pivots = pivots.select("cluster", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "node")
+    work = outside.unionByName(pivots)
+    return compared(work.select(F.struct("cluster", "block").alias("piece"), F.col("cluster").alias("part"), "node"), texts, words, percent)
+
+
+def apart_links(groups: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links between texts of unlike groups of one cluster, all of them compared.
+
+    A large group is cut into blocks of its own, small ones share blocks; each pair of blocks
+    that aren't of the same large group is a piece of work. The pairs are rows without texts.
+    """
+    lead = leading(groups).select("cluster")
+    left = groups.join(lead, "cluster", "left_semi")
+    sizes = left.groupBy("cluster", "own").agg(F.count(F.lit(1)).alias("size"), F.sum("n_shingles").alias("weight"))
+    sizes = sizes.withColumn("blocks", blocks_for("size", "weight"))
+    shared = sizes.filter("blocks = 1").groupBy("cluster").agg(F.sum("size").alias("n"), F.sum("weight").alias("w"))
+    shared = shared.select("cluster", blocks_for("n", "w").alias("shared"))
+    sizes = sizes.join(shared, "cluster", "left").select(
+        "cluster", "own", F.when(F.col("blocks") > 1, F.col("own")).alias("alone"), "blocks", "shared"
+    )
+    block = F.when(F.col("alone").isNotNull(), block_of("blocks")).otherwise(block_of("shared", "own"))
+    members = left.join(sizes, ["cluster", "own"]).select("cluster", F.struct(F.coalesce("alone", F.lit(-1)).alias("group"), F.col("alone").isNotNull().alias("large"), block.alias("block")).alias("place"), "node")
+    members = materialize(members, "blocks")
+    places = materialize(members.select("cluster", "place").distinct(), "places")
+    other = places.select(F.col("cluster").alias("same"), F.col("place").alias("other"))
+    apart = (F.col("place") <= F.col("other")) & ~(F.col("place.large") & F.col("other.large") & (F.col("place.group") == F.col("other.group")))
+    pairs = places.join(other, (F.col("cluster") == F.col("same")) & apart).select("cluster", "place", "other")
+    pairs = materialize(pairs, "block-pairs")
+    one = pairs.join(members, ["cluster", "place"]).select("cluster", "place", "other", "node")
+    two = pairs.filter("place <> other").join(members.withColumnRenamed("place", "other"), ["cluster", "other"]).select("cluster", "place", "other", "node")
+    work = one.unionByName(two)
+    return compared(work.select(F.struct("cluster", "place", "other").alias("piece"), F.col("cluster").alias("part"), "node"), texts, words, percent)
 
 
 def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -220,7 +309,7 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     ties = materialize(candidate_ties(sets.select("node", "keys")), "ties")
     clusters = components(ties).select("node", F.col("component").alias("cluster"))
     clusters = materialize(clusters.join(sets.groupBy("node").agg(F.max("n_shingles").alias("n_shingles")), "node"), "clusters")
-    links = verified_links(docs, clusters, words, percent)
+    links = verified_links(docs, clusters, ties, words, percent)
     # Rows of one id and several sets are one document.
     alike = drawn.filter("digest IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "digest").join(sets.select("digest", "node"), "digest")
     alike = alike.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b").select("a", "b")

@@ -75,6 +75,48 @@ def test_groups_of_near_copies(spark, monkeypatch, block):
     assert 20 < len({x[1] for x in expected.values()}) < len(rows)
 
 
+def test_a_large_cluster_is_joined_in_proportion(spark, monkeypatch):
+    """Twice as many near copies of one text make twice as many rows to compare, not four
+    times, and the groups are those of the plain version."""
+    monkeypatch.setattr(tensor_dedup, "BLOCK", 32)
+    monkeypatch.setattr(tensor_dedup, "PIVOTS", 8)
+    joined = []
+    for count in (300, 600):
+        source = random.Random(count)
+        base = [f"b{source.randrange(10**6)}" for _ in range(150)]
+        rows = variants(source, base, count, 4, 0) + variants(source, base[:75] + base[100:], 20, 2, 5000)
+        work, plain = [], tensor_dedup.materialize
+
+        def counted(df, label):
+            out = plain(df, label)
+            if label == "comparisons":
+                work.append(out.count())
+            return out
+
+        with monkeypatch.context() as patch:
+            patch.setattr(tensor_dedup, "materialize", counted)
+            found = tensor_dedup.near_groups(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85)
+            assert found_groups(found) == plain_groups(rows, 3, 85)
+        joined.append(sum(work))
+    assert joined[1] < 3 * joined[0] and joined[1] < 12 * 620
+
+
+def test_a_cluster_of_texts_that_are_not_linked(spark, monkeypatch):
+    """Candidates that hang together but fall apart into many groups are compared whole."""
+    monkeypatch.setattr(tensor_dedup, "BLOCK", 8)
+    source = random.Random(11)
+    base = [f"b{source.randrange(10**6)}" for _ in range(60)]
+    rows = []
+    for step in range(120):  # each differs a little from the one before, and much from the first
+        for place in source.sample(range(60), 1 if step % 10 else 3):
+            base[place] = f"n{step}"
+        rows.append((step, " ".join(base)))
+    source.shuffle(rows)
+    found = tensor_dedup.near_groups(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85)
+    expected = plain_groups(rows, 3, 85)
+    assert found_groups(found) == expected and len({x[1] for x in expected.values()}) > 3
+
+
 def test_awkward_texts_and_near_groups(spark):
     docs = messy(spark)
     rows = [(r["doc_id"], r["text"]) for r in docs.collect() if r["doc_id"] is not None]

@@ -6,6 +6,7 @@ from pathlib import Path
 
 import corpus_pipeline
 from refinery.llm.common import table
+from refinery.session import shared_root, temporary
 from tests.conftest import TABLES
 from tests.llm.cases import empty, messy
 from tests.llm.test_dedup import plain_groups
@@ -52,9 +53,16 @@ def test_each_stage_against_a_plain_version(spark):
     check(packed, {i: (n, sources[i], i) for i, n in sizes.items()}, corpus_pipeline.CONTEXT, 2)
 
 
-def test_run_gives_bins(spark):
+def test_run_gives_bins_and_leaves_nothing_else(spark, tmp_path):
+    root = Path(shared_root(spark).removeprefix("file:"))
+    before = set(root.iterdir()) if root.exists() else set()
     found = corpus_pipeline.run(spark, TABLES)
     assert found.columns == ["doc_id", "piece", "start", "length", "shard", "bin", "place"] and found.count() > 0
+    assert [p.name.rpartition("-")[0] for p in set(root.iterdir()) - before] == ["stage-packing"]
+    before = set(root.iterdir())
+    with temporary(spark):
+        assert corpus_pipeline.run(spark, TABLES).count() == found.count()
+    assert set(root.iterdir()) == before
 
 
 def test_awkward_documents_pass_every_stage(spark):
