@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from refinery.llm import boosted_toxicity, conflict_packing, digest_index, ordinal_quality, piece_count, tensor_dedup
 from refinery.llm.common import table
-from refinery.session import materialize, open_session
+from refinery.session import delete, open_session, scratch_path, temporary
 
 #: Tokens in a bin of the last stage.
 CONTEXT = 4096
@@ -62,13 +62,26 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to the documents of ``sf_dir``, each stored and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """The stages applied to the documents of ``sf_dir``, each stored and read again.
+
+    What a stage has stored on its way goes when the stage ends, and its result when the next
+    one has been stored; that of the last stage is left for the caller, who may run this
+    inside ``temporary``.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = scratch_path(spark, f"stage-{name}")
+        with temporary(spark):
+            found = stage(spark, docs, sf_dir)
+            found.write.parquet(path)
+        docs = spark.read.schema(found.schema).parquet(path)
+        if before:
+            delete(spark, before)
+        before = path
     return docs
 
 
 if __name__ == "__main__":
     session = open_session("corpus")
-    run(session, sys.argv[1]).write.parquet(sys.argv[2])
+    with temporary(session):
+        run(session, sys.argv[1]).write.parquet(sys.argv[2])
