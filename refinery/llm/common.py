@@ -42,20 +42,26 @@ class WordMemo(dict):
     """A function of single words, kept for short words up to a number of bytes.
 
     Words beyond ``LONGEST`` characters, such as whole texts without spaces, are worked out
-    anew each time: they hardly come again, and would fill the memory. When full it starts
-    anew, as ``Memo`` does.
+    anew each time: they hardly come again, and would fill the memory. Half of the bytes are
+    for the words met lately, the other half for those before them: when the first half is
+    full it takes the place of the second, so that only what was not met for as long is
+    forgotten.
     """
 
     def __init__(self, work: Callable, size: Callable[[object], int], budget: int = MEMO_BYTES):
         super().__init__()
         self.work, self.size = work, size
-        self.budget = self.room = budget
+        self.budget = self.room = budget // 2
+        self.older: dict = {}
 
     def __missing__(self, word):
-        found = self.work(word)
+        found = self.older.get(word)
+        if found is None:
+            found = self.work(word)
         if len(word) <= LONGEST:
             need = ENTRY_BYTES + 4 * len(word) + self.size(found)
             if need > self.room:
+                self.older = self.copy()
                 self.clear()
                 self.room = self.budget
             self.room -= need

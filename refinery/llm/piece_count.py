@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.common import WordMemo, shared_bytes, tokenizer_file
+from refinery.llm.common import MEMO_BYTES, WordMemo, shared_bytes, tokenizer_file
 
 MARK = "▁"  # stands for a space inside pieces
 
@@ -46,7 +46,7 @@ class PieceCounter:
                 if MARK in piece.lstrip(MARK):
                     raise ValueError(f"piece {piece!r} crosses words")
                 self.rank[piece] = -processor.GetScore(i)
-        self.word = WordMemo(lambda word: self.merge(MARK + word), lambda count: 28)
+        self.word = WordMemo(lambda word: self.merge(MARK + word), lambda count: 28, 2 * MEMO_BYTES)
 
     def merge(self, text: str) -> int:
         rank = self.rank.get

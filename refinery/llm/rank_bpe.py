@@ -22,7 +22,7 @@ import json
 import unicodedata
 from collections.abc import Iterator, Sequence
 from heapq import heapify, heappop, heappush
-from itertools import chain
+from itertools import chain, repeat
 
 import pandas as pd
 import regex
@@ -32,6 +32,12 @@ from pyspark.sql import functions as F
 from refinery.llm.common import WordMemo, shared_bytes, tokenizer_file
 
 SCAN_LIMIT = 256
+WORD_BYTES, CHUNK_BYTES = 512 << 20, 256 << 20  # of what a worker keeps, as estimated
+
+#: The number of ids, the ids joined by spaces, and what they decode to.
+Coded = tuple[int, str, str]
+BITS = 10  # of a merge, for the length of its left part
+LEFT = (1 << BITS) - 1
 NO_RANK = 1 << 60
 
 # White space as the vocabulary's own pattern has it, and that pattern.
@@ -77,6 +83,14 @@ def ids_size(ids: tuple[int, ...]) -> int:
     return 40 + 8 * len(ids)
 
 
+def coded_size(found: Coded) -> int:
+    return 160 + len(found[1]) + 2 * len(found[2])
+
+
+def joined(parts: list[Coded]) -> Coded:
+    return sum([x[0] for x in parts]), " ".join([x[1] for x in parts]), " ".join([x[2] for x in parts])
+
+
 class RankCoder:
     """Encodes and decodes as a tokenizers file with word ends, lower case and byte letters."""
 
@@ -87,33 +101,42 @@ class RankCoder:
         self.end = model["end_of_word_suffix"]
         self.ids: dict[str, int] = model["vocab"]
         self.ranks = {tuple(pair): at for at, pair in enumerate(model["merges"])}
+        #: By what a merge gives: its rank, and in the last bits the length of its left part.
+        self.merges = {a + b: at << BITS | len(a) for (a, b), at in self.ranks.items()}
+        if len(self.merges) < len(self.ranks) or max(map(len, self.merges), default=0) > LEFT:
+            raise ValueError("two merges give one entry, or one of more letters than are counted")
         added = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.added = added
         self.split = regex.compile("(" + "|".join(map(regex.escape, added)) + ")") if added else None
         self.first_letters = {x[:2] for x in added}
         self.token = dict(zip(self.ids.values(), self.ids)) | {i: x for x, i in added.items()}
-        self.letters = byte_letters()
-        self.word = WordMemo(self.encode_word, ids_size)
-        self.chunk = WordMemo(self.encode_chunk, ids_size)
-        self.both = WordMemo(self.code_chunk, lambda found: 160 + 4 * (len(found[1]) + len(found[2])))
-
-    def rank_at(self, text: str, cut: list[int], i: int) -> int:
-        return self.ranks.get((text[cut[i] : cut[i + 1]], text[cut[i + 1] : cut[i + 2]]), NO_RANK)
+        self.numbers = {i: str(i) for i in self.token}
+        self.letters = dict(enumerate(byte_letters()))
+        # A use of the coder fills one pair of these.
+        self.word = WordMemo(self.encode_word, ids_size, WORD_BYTES)
+        self.chunk = WordMemo(self.encode_chunk, ids_size, CHUNK_BYTES)
+        self.coded_word = WordMemo(self.code_word, coded_size, WORD_BYTES)
+        self.coded_chunk = WordMemo(self.code_chunk, coded_size, CHUNK_BYTES)
 
     def encode_word(self, word: str) -> tuple[int, ...]:
-        letters = "".join([self.letters[b] for b in word.encode()])
+        letters = word.encode().decode("latin-1").translate(self.letters)
         if len(letters) > SCAN_LIMIT:
             return self.encode_long(letters)
-        text = letters + self.end
+        text, merge_of = letters + self.end, self.merges.get
         cut = [*range(len(letters)), len(text)]
-        rank = [self.rank_at(text, cut, i) for i in range(len(cut) - 2)]
+        # All parts are single letters at first, so any entry of two of them is their merge.
+        rank = list(map(merge_of, map(text.__getitem__, map(slice, cut, cut[2:])), repeat(NO_RANK)))
         while rank and (least := min(rank)) < NO_RANK:
             i = rank.index(least)
             del cut[i + 1], rank[i]
             if i < len(rank):
-                rank[i] = self.rank_at(text, cut, i)
+                x, y, z = cut[i : i + 3]
+                found = merge_of(text[x:z], NO_RANK)
+                rank[i] = found if found & LEFT == y - x else NO_RANK
             if i:
-                rank[i - 1] = self.rank_at(text, cut, i - 1)
+                x, y, z = cut[i - 1 : i + 2]
+                found = merge_of(text[x:z], NO_RANK)
+                rank[i - 1] = found if found & LEFT == y - x else NO_RANK
         return tuple([self.ids[text[a:b]] for a, b in zip(cut, cut[1:])])
 
     def encode_long(self, letters: str) -> tuple[int, ...]:
@@ -138,16 +161,24 @@ class RankCoder:
                 heappush(heap, (r, h, part[h], part[i]))
         return tuple([self.ids[x] for x in part if x is not None])
 
-    def encode_chunk(self, chunk: str) -> tuple[int, ...]:
-        """The ids of text without spaces. Letters are lowered one by one, without regard
+    def words(self, chunk: str) -> list[str]:
+        """The words of text without spaces. Letters are lowered one by one, without regard
         to the end of a word, hence the sigma."""
-        plain = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
-        return tuple(chain.from_iterable(map(self.word.__getitem__, WORDS.findall(plain))))
+        plain = chunk.lower() if chunk.isascii() else unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
+        return WORDS.findall(plain)
+
+    def encode_chunk(self, chunk: str) -> tuple[int, ...]:
+        return tuple(chain.from_iterable(map(self.word.__getitem__, self.words(chunk))))
+
+    def code_word(self, word: str) -> Coded:
+        """How many ids a word has, those as text, and what they decode to."""
+        ids = self.encode_word(word)
+        return len(ids), " ".join(map(self.numbers.__getitem__, ids)), self.decode(ids)
 
-    def code_chunk(self, chunk: str) -> tuple[int, str, str]:
-        """How many ids a chunk has, those as text, and what they decode to."""
-        ids = self.encode_chunk(chunk)
-        return len(ids), " ".join(map(str, ids)), self.decode(ids)
+    def code_chunk(self, chunk: str) -> Coded:
+        """The same for text without spaces, put together from its words."""
+        parts = list(map(self.coded_word.__getitem__, self.words(chunk)))
+        return parts[0] if len(parts) == 1 else joined(parts)
 
     def chunks(self, text: str) -> Iterator[tuple[bool, list[str]]]:
         """The text as added tokens (true, and that one) and chunks between spaces."""
@@ -163,17 +194,16 @@ class RankCoder:
             found += [self.added[parts[0]]] if added else chain.from_iterable(map(self.chunk.__getitem__, parts))
         return found
 
-    def coded(self, text: str | None) -> tuple[int, str, str]:
+    def coded(self, text: str | None) -> Coded:
         """The number of ids of a text, its ids joined by spaces, and what they decode to.
         Chunk by chunk, as both join what the chunks give."""
-        found: list[tuple[int, str, str]] = []
+        found: list[Coded] = []
         for added, parts in self.chunks(text or ""):
             if added:
                 found.append((1, str(self.added[parts[0]]), parts[0]))
             else:
-                found += map(self.both.__getitem__, parts)
-        found = [x for x in found if x[0]]
-        return sum([x[0] for x in found]), " ".join([x[1] for x in found]), " ".join([x[2] for x in found])
+                found += map(self.coded_chunk.__getitem__, parts)
+        return joined([x for x in found if x[0]])
 
     def decode(self, ids: Sequence[int]) -> str:
         """The tokens joined by spaces, which is what a vocabulary without a decoder gives."""

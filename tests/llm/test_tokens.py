@@ -157,14 +157,15 @@ def test_memos_are_bounded_in_bytes():
     source = random.Random(1)
     texts = ["".join(chr(source.randrange(0x4E00, 0x9FA5)) for _ in range(source.choice((40, 2000)))) for _ in range(5000)]
     counter, coder = piece_count.PieceCounter(content("piece_bpe_32k.model")), rank_bpe.RankCoder(content("word_bpe_49k.json"))
-    memos = [counter.word, coder.word, coder.chunk, coder.both]
+    memos = [counter.word, coder.word, coder.chunk, coder.coded_word, coder.coded_chunk]
     for memo in memos:
         memo.budget = memo.room = 200_000
     for text in texts:
         counter(text), coder.encode(text), coder.coded(text)
         for memo in memos:
-            assert sum(4 * len(k) + 160 + memo.size(v) for k, v in memo.items()) <= 200_000
-    assert all(len(k) <= 64 for memo in memos for k in memo)
+            for half in (memo, memo.older):
+                assert sum(4 * len(k) + 160 + memo.size(v) for k, v in half.items()) <= 200_000
+    assert all(len(k) <= 64 for memo in memos for k in [*memo, *memo.older])
 
 
 def test_coded_texts_are_ids_and_their_decoding(texts):
