@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Up to so many values are looked for in row groups one by one, and not as a range.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
 }
 
 _local_root: str | None = None

@@ -205,11 +205,12 @@ def test_a_small_batch_reads_few_row_groups(spark, tmp_path):
         table = publish.publish_version(many, CLEAN, path, PARTITION_COLUMNS, ["order_id"], ["order_id"])
     finally:
         publish.write_table = write
-    ten = [r["order_id"] for r in table.select("order_id").orderBy(F.xxhash64("order_id")).limit(10).collect()]
-    look = table.filter(F.col("order_id").isin(ten)).select("order_id")
-    assert len(look.collect()) == 10
-    (read,) = scan_metrics(look, "numOutputRows")
-    assert 10 <= read < 60_000 / 4
+    for count in (12, 10):  # more than ten values would by default be looked for as a range
+        ten = [r["order_id"] for r in table.select("order_id").orderBy(F.xxhash64("order_id")).limit(count).collect()]
+        look = table.filter(F.col("order_id").isin(ten)).select("order_id")
+        assert len(look.collect()) == count
+        (read,) = scan_metrics(look, "numOutputRows")
+        assert count <= read < 60_000 / 4
     batch = table.filter(F.col("order_id").isin(ten)).withColumn("status", F.lit("late")).withColumn("processed_at", F.col("processed_at") + F.expr("INTERVAL 1 DAY"))
     newest, left = publish.probe(table, materialize(batch, "batch"), ["order_id", "product_id"], "processed_at", publish._folder(PARTITION_COLUMNS))
     assert newest.count() == 10 and left == ["order_year=2024/order_month=1"]
