@@ -10,8 +10,8 @@ Texts are equal when they are identical after each run of ``[\\x20\\x09-\\x0D]``
 space; their SHA-256 stands for them. A null text is empty. Of equal texts that of the
 smallest id stays, or that of the earlier batch; a null id is larger than all others, and
 stays only where its text has no other. Rows of equal text *and* id are copies of one
-document: ``decide`` marks them alike, ``drop_copies`` leaves the least. An empty batch changes
-nothing. Other columns may have any name: the working columns live in a table of their own.
+document: ``decide`` marks them alike, ``drop_copies`` leaves one, by a hash of its columns. An
+empty batch changes nothing. Other columns may have any name: the working columns live in a table of their own.
 """
 
 from __future__ import annotations
@@ -202,25 +202,23 @@ def exact_report(docs: DataFrame, index: DigestIndex | None = None, loads: int =
 
 
 def drop_copies(docs: DataFrame, index: DigestIndex | None = None, loads: int = LOADS) -> DataFrame:
-    """The rows of ``docs`` that stay, with their columns; of copies of one document the
-    least, by its columns as JSON.
-
-    Rows are chosen by their id alone. Only where an id has several rows are their texts
-    looked at again."""
-    found = materialize(exact_report(docs, index, loads), "decided")
-    ids = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.max("kept").alias("stays"))
-    ids = materialize(ids.filter("stays").select(F.col("doc_id").alias("id"), F.col("rows")), "staying-ids")
-    whole = F.struct(*[F.col(f"`{x}`") for x in docs.columns])
-    keyed = docs.select(whole.alias("row"), F.col("doc_id").cast("long").alias("of"), "text")
-    same = F.col("of").eqNullSafe(F.col("id"))
-    single = keyed.join(ids.filter("rows = 1"), same, "left_semi").select("row")
-    stays = found.filter("kept").select("doc_id", "text_sha256").distinct()
-    stays = stays.select(F.struct("doc_id", "text_sha256").alias("stay"))
-    several = keyed.join(ids.filter("rows > 1"), same, "left_semi")
-    key = F.struct(F.col("of").alias("doc_id"), F.lower(F.hex(text_digest("text"))).alias("text_sha256"))
-    several = several.select("row", key.alias("key")).join(stays, F.col("key") == F.col("stay"), "left_semi")
-    least = several.groupBy("key").agg(F.min_by("row", F.to_json("row")).alias("row"))
-    return single.unionByName(least.select("row")).select("row.*")
+    """The rows of ``docs`` that stay, with their columns; of copies of one document that
+    with the least hash of all its columns."""
+    stays = exact_report(docs, index, loads).filter("kept").select("doc_id", "text_sha256").distinct()
+    stays = materialize(stays.select(F.struct("doc_id", "text_sha256").alias("stay")), "stays")
+    names = [F.col(f"`{x}`") for x in docs.columns]
+    # Maps have no hash of their own.
+    hashed = [F.to_json(c) if "map<" in kind else c for c, (_, kind) in zip(names, docs.dtypes)]
+    keyed = docs.select(
+        F.struct(*names).alias("row"),
+        F.xxhash64(*hashed).alias("rank"),
+        F.struct(
+            F.col("doc_id").cast("long").alias("doc_id"),
+            F.lower(F.hex(text_digest("text"))).alias("text_sha256"),
+        ).alias("key"),
+    )
+    joined = keyed.join(stays, F.col("key") == F.col("stay"), "left_semi")
+    return joined.groupBy("key").agg(F.min_by("row", "rank").alias("row")).select("row.*")
 
 
 ORACLE = r"""
