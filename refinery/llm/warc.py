@@ -207,13 +207,14 @@ def read_records(spark: SparkSession, path: str, version: str = VERSION) -> Data
 def reassemble(records: DataFrame) -> DataFrame:
     """record_id, warc_type, header, block and complete, a row per whole record.
 
-    Only segments are shuffled, by their origin; a segment that is there twice counts once.
+    Only segments are shuffled, once, by their origin; a segment that is there twice counts once.
     A record is complete if its segments are 1, 2, … and add up to the total length that the
     last one declares; an incomplete one keeps what there is."""
     plain = records.filter(F.col("segment").isNull())
     plain = plain.select("record_id", "warc_type", "header", "block", F.lit(True).alias("complete"))
     content = F.struct(F.col("block").alias("block"), "total_length", "warc_type", "header")
-    parts = records.filter(F.col("segment").isNotNull()).groupBy("origin_id", "segment").agg(F.min(content).alias("of"))
+    parts = records.filter(F.col("segment").isNotNull()).repartition("origin_id")
+    parts = parts.groupBy("origin_id", "segment").agg(F.min(content).alias("of"))
     listed = F.sort_array(F.collect_list(F.struct("segment", "of"))).alias("parts")
     joined = parts.groupBy("origin_id").agg(listed)
     numbers = F.transform("parts", lambda p: p["segment"])
