@@ -25,16 +25,23 @@ def repair_encoding(text: Column | str, lowered: bool = False) -> Column:
 
     ``lowered`` says the text has already been lower-cased: lowering also changes the
     broken sequences, so they are looked for in that form. Text without any character
-    they start with, which is nearly all of it, is only scanned for those.
+    they start with, which is nearly all of it, is only scanned for those. The repair is a
+    lambda, which Spark keeps out of the loop that it generates for a stage: the JVM does
+    not compile a loop of more than 8,000 bytes, and the repairs of eight columns over a
+    wide projection are beyond that.
     """
     text = F.col(text) if isinstance(text, str) else text
     repairs = [(b.lower() if lowered else b, right) for b, right in ENCODING_REPAIRS]
-    repaired, suspect = text, F.lit(False)
-    for broken, right in repairs:
-        repaired = F.replace(repaired, F.lit(broken), F.lit(right))
+
+    def repaired(broken_text: Column) -> Column:
+        for broken, right in repairs:
+            broken_text = F.replace(broken_text, F.lit(broken), F.lit(right))
+        return broken_text
+
+    suspect = F.lit(False)
     for first in sorted({broken[0] for broken, _ in repairs}):
         suspect = suspect | F.contains(text, F.lit(first))
-    return F.when(suspect, repaired).otherwise(text)
+    return F.when(suspect, F.get(F.transform(F.array(text), repaired), F.lit(0))).otherwise(text)
 
 
 def trimmed(column: str) -> Column:

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from refinery.operators import checks, cleaning, dimensions, fact, publish
+from refinery.plans.catalog import QUERIES
 from refinery.plans.refine import refine
 from refinery.plans.star import build_star
 from refinery.schemas import CLEAN, PARTITION_COLUMNS
@@ -136,3 +141,13 @@ def test_an_upsert_plans_to_read_only_touched_partitions(clean, tmp_path):
     touched = table.filter(publish._folder(PARTITION_COLUMNS).isin(folders))
     assert "PartitionFilters: [concat_ws" in plan_of(touched)
     assert touched.select(F.input_file_name()).distinct().count() == 2
+
+
+@pytest.mark.parametrize("query", ["require_keys", "refine_rough"])
+def test_no_generated_loop_is_too_long_for_the_jvm_to_compile(spark, settings, query):
+    """Beyond 8,000 bytes a method is interpreted, which takes several times as long."""
+    settings(spark__sql__adaptive__enabled="false", spark__sql__autoBroadcastJoinThreshold="2k")
+    with contextlib.redirect_stdout(io.StringIO()) as text:
+        QUERIES[query](spark, TABLES).explain("codegen")
+    sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", text.getvalue())]
+    assert sizes and max(sizes) <= 8000
