@@ -39,6 +39,9 @@ MARKED = StructType([*FINGERPRINT.fields, StructField("columns", ArrayType(Strin
 #: then passes over row groups that hold none of them.
 NAMED_KEYS = 1_000
 
+#: Rows of a bucket up to which ``buckets_for`` adds no buckets.
+BUCKET_ROWS = 500_000
+
 
 def conform(df: DataFrame, contract: StructType, allow_undeclared: bool = False) -> DataFrame:
     """``df`` in the contract's columns, order and types, matched by name.
@@ -172,6 +175,11 @@ def publish_to_catalog(
     return spark.table(table).select(*contract.names)
 
 
+def buckets_for(df: DataFrame, least: int) -> int:
+    """How many buckets a stored table needs, so that a task reads no more as it grows."""
+    return max(least, -(-df.count() // BUCKET_ROWS))
+
+
 def publish_bucketed(
     df: DataFrame, contract: StructType, table: str, bucket_by: str, buckets: int
 ) -> DataFrame:
@@ -180,6 +188,8 @@ def publish_bucketed(
     Two tables that are bucketed alike are joined on that column without moving either. Rows
     are dealt out before they are written, so that a bucket is one sorted file, and an id
     with very many rows is in one task: for such ids join plain tables, which Spark splits.
+    One task writes or reads a whole bucket, so name as many as the larger table needs
+    (``buckets_for``).
     """
     rows = conform(df, contract).repartition(buckets, bucket_by)
     writer = rows.write.format("parquet").mode("overwrite").bucketBy(buckets, bucket_by)

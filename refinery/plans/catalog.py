@@ -387,9 +387,9 @@ def join_customer_sk(spark: SparkSession, folder: str) -> DataFrame:
 def join_customer_bucketed(spark: SparkSession, folder: str) -> DataFrame:
     """The lookup between catalog tables that are bucketed alike: nothing is moved."""
     clean, database = _stored(spark, folder), _database(spark)
-    customers = dimensions.dim_customer(clean)
-    rows = publish.publish_bucketed(clean, CLEAN, f"{database}.clean", "customer_id", 8)
-    customers = publish.publish_bucketed(customers, DIM_CUSTOMER, f"{database}.dim_customer", "customer_id", 8)
+    customers, buckets = dimensions.dim_customer(clean), publish.buckets_for(clean, 8)
+    rows = publish.publish_bucketed(clean, CLEAN, f"{database}.clean", "customer_id", buckets)
+    customers = publish.publish_bucketed(customers, DIM_CUSTOMER, f"{database}.dim_customer", "customer_id", buckets)
     joined = fact.with_customer_key_in_place(rows, customers)
     return joined.select("order_id", "product_id", "customer_id", "customer_sk")
 

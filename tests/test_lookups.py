@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
@@ -178,6 +179,14 @@ def test_tables_bucketed_alike_are_joined_where_they_lie(spark):
     assert "SortMergeJoin" in tree and "Exchange" not in tree
 
 
+def test_buckets_grow_in_number_and_not_in_size(spark, monkeypatch):
+    before = rows_of(catalog.join_customer_bucketed(spark, TABLES))
+    monkeypatch.setattr(publish, "BUCKET_ROWS", 500)
+    joined = catalog.join_customer_bucketed(spark, TABLES)
+    assert int(re.search(r"Bucketed: true.*?out of (\d+)", plan_of(joined), re.S)[1]) == -(-len(before) // 500) > 8
+    assert rows_of(joined) == before
+
+
 def test_rows_are_counted_from_footers(spark, tmp_path):
     clean = f"{tmp_path}/clean"
     rows = refine(raw_frame(spark, *[{"order_id": f"O{i}", "order_date": f"2024-0{1 + i % 3}-01"} for i in range(30)]), AT)
