@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from datetime import datetime
 
 from pyspark.sql import Window
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 from refinery.operators import cleaning
 from refinery.plans.refine import refine
 from refinery.schemas import BUSINESS_KEY, CLEAN, RAW
-from tests.conftest import rows_of
+from refinery.session import materialize
+from tests.conftest import plan_of, rows_of
 
 GOOD = dict(
     order_id="O1", customer_id="C1", customer_name=" Ann ", product_id="P1", product_name="Pen",
@@ -19,6 +21,8 @@ GOOD = dict(
     order_date="05-01-2024", region="NORTH", status=" Done ",
 )
 
+RUN_AT = datetime(2024, 1, 1)
+
 
 def raw_frame(spark, *changes: dict):
     return spark.createDataFrame([tuple({**GOOD, **c}[n] for n in RAW.names) for c in changes], RAW)
@@ -111,3 +115,36 @@ def test_refining_twice_keeps_the_same_keys(spark):
                       for c in RAW.names])
     )
     assert rows_of(once.select(*BUSINESS_KEY)) == rows_of(again.select(*BUSINESS_KEY))
+
+
+def branches(plan: str) -> tuple[str, str]:
+    """The lines of a plan below a union, first and second branch."""
+    lines = plan.split("\n\n")[0].split("Union")[1].splitlines()
+    first = [line for line in lines if line.lstrip().startswith(":")]
+    return "\n".join(first), "\n".join(line for line in lines if line not in first)
+
+
+def test_rows_of_a_stored_table_are_moved_only_if_they_share_a_key(spark, monkeypatch):
+    rows = raw_frame(
+        spark,
+        {"order_id": "A", "customer_id": None}, {"order_id": "A", "customer_id": "C1"}, {"order_id": "A", "customer_id": "C1"},
+        {"order_id": "B"}, {"order_id": None}, {"order_id": None, "region": " "}, {"order_id": "C", "product_id": None},
+    )
+    stored = materialize(rows, "raw")
+    expected = rows_of(cleaning.keep_one_per_key(rows))
+    found = cleaning.keep_one_per_stored_key(stored)
+    assert rows_of(found) == expected and len(expected) == 4
+    alone, several = branches(plan_of(cleaning.keep_one_per_stored_key(stored)))
+    assert "LeftAnti" in alone and not re.search(r"(?<!Broadcast)Exchange", alone)
+    assert "LeftSemi" in several and re.search(r"(?<!Broadcast)Exchange", several)
+    monkeypatch.setattr(cleaning, "REPEATED_KEYS", 0)  # too many to name: all rows are moved
+    assert rows_of(cleaning.keep_one_per_stored_key(stored)) == expected
+    assert "LeftAnti" not in plan_of(cleaning.keep_one_per_stored_key(stored))
+
+
+def test_refining_a_stored_table_gives_the_same_rows(spark):
+    orders = [{"order_id": "A"}, {"order_id": " A ", "region": "b"}, {"order_id": "B", "customer_id": None}, {"order_id": "D"}]
+    rows = raw_frame(spark, *orders)
+    for options in ({}, {"padded_keys_differ": True}):
+        stored = refine(materialize(rows, "raw"), RUN_AT, stored=True, **options)
+        assert rows_of(stored) == rows_of(refine(rows, RUN_AT, **options))
