@@ -39,6 +39,10 @@ MARKED = StructType([*FINGERPRINT.fields, StructField("columns", ArrayType(Strin
 #: then passes over row groups that hold none of them.
 NAMED_KEYS = 1_000
 
+#: Rows of a batch beyond which it is joined to the table as a whole: up to that its keys are
+#: joined first, as they may be small enough to be sent to where the table is.
+SMALL_BATCH = 1_000_000
+
 #: Rows of a bucket up to which ``buckets_for`` adds no buckets.
 BUCKET_ROWS = 500_000
 
@@ -204,14 +208,30 @@ def newest_of(
 
     Stored, as it is used twice. At equal times the batch counts as the later load.
     """
-    newest = materialize(keep_one_per_key(batch, keys, latest_by=order_by), "batch")
     if order_by is None:
-        return newest
+        return materialize(keep_one_per_key(batch, keys), "batch")
+    batch = materialize(batch, "batch")
+    newest = keep_one_per_key(batch, keys, latest_by=order_by)
     held = existing.select(*keys, F.col(order_by).alias("_held"))
+    if batch.count() > SMALL_BATCH:
+        return _not_surpassed(newest, held, keys, order_by).select(*newest.columns)
+    newest = materialize(newest, "newest")
     later = newest.join(held, list(keys)).filter(F.col("_held") > F.col(order_by))
     return newest.join(later.select(*keys), list(keys), "left_anti").select(*newest.columns)
 
 
+def _not_surpassed(
+    newest: DataFrame, held: DataFrame, keys: Sequence[str], order_by: str | None
+) -> DataFrame:
+    """The rows of ``newest`` (one per key) but those of which ``held`` has a later version in
+    ``_held``, with the other columns of ``held``; stored. ``newest`` comes out of the shuffle
+    that made it one row per key, so that only ``held`` is moved."""
+    met = newest.join(held, list(keys), "left")
+    if order_by is not None:
+        met = met.filter(~F.coalesce(F.col("_held") > F.col(order_by), F.lit(False))).drop("_held")
+    return materialize(met, "newest")
+
+
 def upsert(
     existing: DataFrame,
     batch: DataFrame,
@@ -230,25 +250,38 @@ def upsert(
 
 
 def probe(
-    existing: DataFrame, batch: DataFrame, keys: Sequence[str], order_by: str | None, where: Column
+    existing: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str],
+    order_by: str | None,
+    where: Column,
+    stored: DataFrame | None = None,
 ) -> tuple[DataFrame, list[str]]:
-    """The rows of ``batch`` (one per key) that ``existing`` has no later version of, and the
-    values of ``where`` among the rows that they replace.
+    """The rows of ``batch`` (one per key) that ``existing`` has no later version of, stored,
+    and the values of ``where`` among the rows that they replace.
 
     One pass over the keys, times and folders of the table. The row groups that a small
-    batch cannot meet are not read.
+    batch cannot meet are not read. ``stored`` is the table that ``batch`` was made one row per
+    key from; beyond ``SMALL_BATCH`` rows of it the batch is not stored before it is joined.
     """
+    stored = batch if stored is None else stored
     first = keys[0]
-    values = _values(batch.select(first).distinct().limit(NAMED_KEYS + 1))
+    values = _values(stored.select(first).distinct().limit(NAMED_KEYS + 1))
     if len(values) <= NAMED_KEYS:
         existing = existing.filter(F.col(first).isin(values))
-    later = F.lit(False) if order_by is None else F.col("_held") > F.col(order_by)
-    held = existing.select(*keys, *([] if order_by is None else [F.col(order_by).alias("_held")]), where.alias("_where"))
     times = [] if order_by is None else [order_by]
+    held = existing.select(*keys, *[F.col(c).alias("_held") for c in times], where.alias("_where"))
+    if stored.count() > SMALL_BATCH:
+        met = _not_surpassed(batch, held, keys, order_by)
+        left = _values(met.filter(F.col("_where").isNotNull()).select("_where"))
+        return met.select(*batch.columns), left
+    if batch is not stored:
+        batch = materialize(batch, "batch")
+    later = F.lit(False) if order_by is None else F.col("_held") > F.col(order_by)
     met = batch.select(*keys, *times).join(held, list(keys))
     met = materialize(met.select(*keys, "_where", F.coalesce(later, F.lit(False)).alias("_later")), "met")
     newest = batch.join(met.filter("_later").select(*keys), list(keys), "left_anti").select(*batch.columns)
-    return newest, _values(met.filter("NOT _later").select("_where"))
+    return materialize(newest, "newest"), _values(met.filter("NOT _later").select("_where"))
 
 
 def upsert_table(
@@ -269,25 +302,39 @@ def upsert_table(
     """
     with temporary(spark):
         existing = read_table(spark, path, contract)
-        batch = materialize(keep_one_per_key(conform(batch, contract), keys, latest_by=order_by), "batch")
-        newest, left = probe(existing, batch, keys, order_by, _folder(partition_by))
-        newest = materialize(newest, "newest")
-        folder = _folder(partition_by).alias("folder")
-
-        touched = sorted({*left, *_values(newest.select(folder))})
+        batch = materialize(conform(batch, contract), "batch")
+        one = keep_one_per_key(batch, keys, latest_by=order_by)
+        newest, left = probe(existing, one, keys, order_by, _folder(partition_by), batch)
+        touched = sorted({*left, *_values(newest.select(_folder(partition_by)))})
         affected = existing.filter(_folder(partition_by).isin(touched))
         untouched = affected.join(newest, list(keys), "left_anti")
-        merged = untouched.unionByName(newest).select(*existing.columns)
-        merged = materialize(conform(merged, contract), "merged")
-
-        write_table(merged, path, partition_by, only_partitions_present=True)
-        nothing = merged.drop(*partition_by).limit(0)
-        for emptied in set(touched) - set(_values(merged.select(folder))):
-            nothing.write.mode("overwrite").parquet(f"{path}/{emptied}")
+        merged = conform(untouched.unionByName(newest).select(*existing.columns), contract)
+        staged = f"{path}.staged-{uuid.uuid4().hex}"
+        try:
+            write_table(merged, staged, partition_by)
+            _replace_partitions(spark, path, staged, touched, merged.drop(*partition_by).schema)
+        finally:
+            delete(spark, staged)
     spark.catalog.refreshByPath(path)
     return read_table(spark, path, contract)
 
 
+def _replace_partitions(
+    spark: SparkSession, path: str, staged: str, touched: Sequence[str], schema: StructType
+) -> None:
+    """Move the partitions of ``staged`` over those of ``path``, one after the other. Of those
+    touched, one that ``staged`` lacks is left without rows."""
+    for folder in touched:
+        system, old = file_system(spark, f"{path}/{folder}")
+        new = file_system(spark, f"{staged}/{folder}")[1]
+        if not system.exists(new):
+            spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/{folder}")
+            continue
+        system.delete(old, True)
+        system.mkdirs(old.getParent())
+        _move(system, new, old)
+
+
 def publish_version(
     df: DataFrame,
     contract: StructType,
@@ -404,8 +451,8 @@ def upsert_version(
     def make(base: Version, folder: str) -> versions.Tables:
         base = base if base.number else _adopted(spark, path)
         existing = versions.read_version(spark, path, contract, version=base)
-        newest, left = probe(existing, rows, keys, order_by, _folder(partition_by))
-        newest = materialize(newest, "newest")
+        one = keep_one_per_key(rows, keys, latest_by=order_by)
+        newest, left = probe(existing, one, keys, order_by, _folder(partition_by), rows)
         held = {
             k: versions.partitions_of(spark, f"{path}/{k}", len(partition_by)) if v is None else v
             for k, v in base.folders().items()
@@ -429,7 +476,7 @@ def upsert_version(
     if not partition_by:
         raise ValueError("an upsert needs partitions, or it rewrites the whole table")
     with temporary(spark):
-        rows = materialize(keep_one_per_key(conform(batch, contract), keys, latest_by=order_by), "batch")
+        rows = materialize(conform(batch, contract), "batch")
         version = versions.change(spark, path, make)
     return versions.read_version(spark, path, contract, version=version)
 

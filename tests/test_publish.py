@@ -91,6 +91,28 @@ def test_the_latest_version_wins(spark, tmp_path):
     assert rows_of(publish.upsert(table, batch, order_by=None).select("order_id"))[1:] == [("B",)]
 
 
+@pytest.mark.parametrize("upsert", [publish.upsert_table, publish.upsert_version])
+def test_a_large_batch_is_joined_once(spark, tmp_path, monkeypatch, upsert):
+    def version(status, days, order="A", date="2024-01-05"):
+        return refine(raw_frame(spark, {"order_id": order, "status": status, "order_date": date}), AT + timedelta(days=days))
+
+    table = version("new", 0).unionByName(version("kept", 0, "B")).unionByName(version("new", 0, "C", "2024-03-01"))
+    undated = version("undated", 0, "C").withColumn("processed_at", F.lit(None).cast("timestamp"))
+    batch = version("completed", 1).unionByName(version("returned", 30)).unionByName(version("late", -9, "B"))
+    batch = batch.unionByName(undated).unionByName(version("first", -1, "D", "2024-04-01"))
+    found, stored, keep = [], [], publish.materialize
+    monkeypatch.setattr(publish, "materialize", lambda df, label: (stored.append(label), keep(df, label))[1])
+    for limit in (publish.SMALL_BATCH, 0):
+        monkeypatch.setattr(publish, "SMALL_BATCH", limit)
+        path = f"{tmp_path}/t{limit}"
+        publish.publish(table, CLEAN, path, PARTITION_COLUMNS)
+        stored.clear()
+        found.append([rows_of(upsert(spark, path, CLEAN, batch)) for _ in range(2)] + [rows_of(publish.upsert(table, batch))])
+    assert stored == ["batch", "newest"] * 3  # neither what was met nor what was merged
+    assert all(rows == found[0][0] for rows in found[0] + found[1])
+    assert sorted((r[0], r[11]) for r in found[0][0]) == [("A", "returned"), ("B", "kept"), ("C", "undated"), ("D", "first")]
+
+
 def test_padding_does_not_make_another_key(spark):
     rows = raw_frame(spark, {"order_id": " O1"}, {"order_id": "O1 "}, {"order_id": "O2"})
     assert refine(rows, AT).count() == 2 and refine(rows, AT, padded_keys_differ=True).count() == 3
