@@ -25,7 +25,8 @@ from refinery.operators.cleaning import keep_one_per_key
 from refinery.operators.in_place import IN_PLACE_ROWS, addressed, bits_of, chosen
 from refinery.operators.fingerprint import as_table, fingerprint, observed
 from refinery.schemas import BUSINESS_KEY, FINGERPRINT, PARTITION_COLUMNS
-from refinery.session import CODEC, delete, file_system, materialize, temporary
+from refinery.session import CODEC, delete, file_system, temporary
+from refinery.session import packed as materialize
 from refinery.sources import versions
 from refinery.sources.files import read_table, write_table
 from refinery.sources.versions import MAIN, Version

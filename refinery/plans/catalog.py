@@ -31,7 +31,7 @@ from refinery.schemas import (
     PARTITION_COLUMNS,
     RAW,
 )
-from refinery.session import materialize, scratch_path, temporary
+from refinery.session import materialize, packed, scratch_path, temporary
 from refinery.sources.derived_orders import raw_orders
 from refinery.sources.files import read_csv, read_table, write_csv
 from refinery.sources.ledger import LOADED, ingest
@@ -62,7 +62,7 @@ def _refined(spark: SparkSession, folder: str, variant: str = "settled") -> Data
 def _refined_in_place(spark: SparkSession, folder: str, variant: str = "settled") -> DataFrame:
     """The same from stored raw orders, for queries that move or write much afterwards: fewer
     bytes are moved, for a little more time."""
-    return refine(materialize(raw_orders(spark, folder, variant), "raw"), RUN_AT, stored=True)
+    return refine(packed(raw_orders(spark, folder, variant), "raw"), RUN_AT, stored=True)
 
 
 def _stored(spark: SparkSession, folder: str, variant: str = "settled") -> DataFrame:
@@ -78,7 +78,7 @@ def _publish_clean(spark: SparkSession, folder: str, path: str) -> DataFrame:
 
 def _stored_in_place(spark: SparkSession, folder: str, variant: str = "settled") -> DataFrame:
     """The same from stored raw orders."""
-    return materialize(_refined_in_place(spark, folder, variant), "clean")
+    return packed(_refined_in_place(spark, folder, variant), "clean")
 
 
 def _star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -225,7 +225,7 @@ def _returned(clean: DataFrame) -> DataFrame:
 
 
 def incremental_upsert(spark: SparkSession, folder: str) -> DataFrame:
-    clean = materialize(_refined_in_place(spark, folder), "clean")
+    clean = _stored_in_place(spark, folder)
     return _without_audit(publish.upsert(clean, _returned(clean), stored=True))
 
 
@@ -247,7 +247,7 @@ def _versions(clean: DataFrame) -> DataFrame:
 
 
 def incremental_upsert_latest(spark: SparkSession, folder: str) -> DataFrame:
-    clean = materialize(_refined_in_place(spark, folder), "clean")
+    clean = _stored_in_place(spark, folder)
     return _without_audit(publish.upsert(clean, _versions(clean), stored=True))
 
 

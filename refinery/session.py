@@ -22,7 +22,7 @@ SETTINGS = {
     "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
 }
 
-#: How stored tables are compressed: about a quarter smaller than Spark's default, for a little
+#: How stored order tables are compressed: about a quarter smaller than Spark's default, for a little
 #: more time.
 CODEC = "zstd"
 
@@ -120,14 +120,20 @@ def delete(spark: SparkSession, path: str) -> None:
     system.delete(at, True)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and return the stored table.
 
     Cuts the lineage, so a lost executor costs a file read instead of the upstream
     shuffles; later consumers read only their columns; and the planner sees the real
-    size, which is what lets it pick a broadcast join safely.
+    size, which is what lets it pick a broadcast join safely. ``codec`` stands in for the
+    session's compression.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path, compression=CODEC)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def packed(df: DataFrame, label: str) -> DataFrame:
+    """``materialize`` with the compression of stored order tables."""
+    return materialize(df, label, CODEC)

@@ -13,7 +13,7 @@ from refinery.operators import cleaning, fact, in_place, publish
 from refinery.plans import catalog
 from refinery.plans.star import build_dims
 from refinery.schemas import BUSINESS_KEY, PARTITION_COLUMNS
-from refinery.session import materialize, scratch_path
+from refinery.session import materialize, packed, scratch_path
 from refinery.sources import derived_orders, versions
 from refinery.sources.files import write_table
 from tests.conftest import TABLES, plan_of, rows_of
@@ -116,7 +116,7 @@ def test_a_fact_is_dealt_out_before_its_metrics(spark):
 
 
 def test_stored_tables_are_packed_well(spark, tmp_path):
-    path = materialize(spark.range(3), "t").inputFiles()[0]
+    path = packed(spark.range(3), "t").inputFiles()[0]
     assert path.endswith(".zstd.parquet")
     write_table(spark.range(3), f"{tmp_path}/t")
     assert any(name.endswith(".zstd.parquet") for name in os.listdir(f"{tmp_path}/t"))
